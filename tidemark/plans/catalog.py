@@ -1,6 +1,6 @@
 """Loads every module of registered queries."""
 
-from tidemark.plans import q_series  # noqa: F401
+from tidemark.plans import q_features, q_profile, q_series  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 FLAGSHIP = "ts_filled_15min"
