@@ -54,17 +54,16 @@ def required_servers(spark, sf_dir):
 _COSTS = "total_server_hours total_cost average_servers overprovisioning_cost sla_violation_rate"
 
 
-def _fixed_sql(source: str, size: str, group: str, extra: str = "") -> str:
-    """Cost of a constant size, written straight from the definition."""
-    cap = f"({size} * {_R})"
-    cost = f"(count(*) * {size} * 0.25 * {_PRICE})"
-    return f"""SELECT {group}{extra}, count(*) * {size} * 0.25 AS total_server_hours, {cost} AS total_cost,
-  CAST({size} AS DOUBLE) AS average_servers, CAST({size} AS INTEGER) AS peak_servers, CAST({size} AS INTEGER) AS min_servers,
-  {cost} * greatest(0, count(*) * {cap} - sum({T})) / (count(*) * {cap}) AS overprovisioning_cost,
-  count(*) FILTER (WHERE {T} > {cap}) AS underprovisioning_events,
-  CAST(floor(sum(greatest(0, {T} - {cap}))) AS BIGINT) AS dropped_requests,
-  count(*) FILTER (WHERE {T} > {cap}) * 100.0 / count(*) AS sla_violation_rate
-FROM {source} GROUP BY ALL"""
+def _fixed_sql(source: str, size: str, group: str, label: str = "") -> str:
+    """Cost of a constant size per group, written straight from the definition."""
+    cost = f"(count(*) * max(sz) * 0.25 * {_PRICE})"
+    return f"""SELECT {group}{label}, count(*) * max(sz) * 0.25 AS total_server_hours, {cost} AS total_cost,
+  CAST(max(sz) AS DOUBLE) AS average_servers, max(sz) AS peak_servers, max(sz) AS min_servers,
+  {cost} * greatest(0, sum(cap) - sum({T})) / sum(cap) AS overprovisioning_cost,
+  count(*) FILTER (WHERE {T} > cap) AS underprovisioning_events,
+  CAST(floor(sum(greatest(0, {T} - cap))) AS BIGINT) AS dropped_requests,
+  count(*) FILTER (WHERE {T} > cap) * 100.0 / count(*) AS sla_violation_rate
+FROM (SELECT *, CAST({size} AS INTEGER) AS sz, {size} * {_R} AS cap FROM {source}) GROUP BY {group}"""
 
 
 @query("fixed_cost", f"WITH {series_ctes('15min')} {_fixed_sql('series', '2', 'event_type')}", doubles=_COSTS)
@@ -103,10 +102,11 @@ def optimal_fixed(spark, sf_dir):
 _SIZE = lambda x: f"CAST(ceil({x} / {_R}) AS INTEGER)"
 STRATEGY_SQL = f"""{PLAN_SQL},
 z AS (SELECT event_type, {_SIZE(f'max({T})')} AS p, {_SIZE(f'quantile_cont(CAST({T} AS DOUBLE), 0.9)')} AS q, {_SIZE(f'avg({T})')} AS a FROM plan GROUP BY ALL),
+sized AS (SELECT plan.*, p, q, a FROM plan JOIN z ON plan.event_type = z.event_type),
 strategies AS (
-  {_fixed_sql('(SELECT plan.*, z.p FROM plan JOIN z ON plan.event_type = z.event_type)', 'p', 'event_type, p', ", 'Fixed (Peak)' AS strategy").replace('event_type, p,', 'event_type,')}, p
-  UNION ALL {_fixed_sql('(SELECT plan.*, z.q FROM plan JOIN z ON plan.event_type = z.event_type)', 'q', 'event_type, q', ", 'Fixed (P90)' AS strategy").replace('event_type, q,', 'event_type,')}, q
-  UNION ALL {_fixed_sql('(SELECT plan.*, z.a FROM plan JOIN z ON plan.event_type = z.event_type)', 'a', 'event_type, a', ", 'Fixed (Average)' AS strategy").replace('event_type, a,', 'event_type,')}, a
+  {_fixed_sql('sized', 'p', 'event_type', ", 'Fixed (Peak)' AS strategy")}
+  UNION ALL {_fixed_sql('sized', 'q', 'event_type', ", 'Fixed (P90)' AS strategy")}
+  UNION ALL {_fixed_sql('sized', 'a', 'event_type', ", 'Fixed (Average)' AS strategy")}
   UNION ALL {_DYNAMIC.replace('SELECT event_type,', "SELECT event_type, 'Autoscaled' AS strategy,")}),
 compared AS (SELECT s.*, b.total_cost - s.total_cost AS savings, round((b.total_cost - s.total_cost) / b.total_cost * 100, 2) AS savings_pct
   FROM strategies s JOIN strategies b ON s.event_type = b.event_type AND b.strategy = 'Fixed (Peak)')"""
