@@ -64,17 +64,38 @@ def fourier_columns(model: FourierModel, ts: str = "ts") -> dict[str, Column]:
     return out
 
 
-def trend_columns(model: FourierModel, ts: str = "ts") -> dict[str, Column]:
-    """Time scaled to 0..1 over the history, and one hinge per changepoint in its first part.
+def scaled_time(ts: str = "ts") -> Column:
+    """Time as 0..1 over the history whose first and last second are `_lo` and `_hi`."""
+    return (seconds_of(ts) - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1)).cast("double")
 
-    Needs `_lo` and `_hi`, the seconds of the history's first and last row.
-    """
-    t = (seconds_of(ts) - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1)).cast("double")
-    at = [CHANGEPOINT_RANGE * i / model.changepoints for i in range(1, model.changepoints + 1)]
-    return {"trend": t, **{f"hinge_{i}": F.greatest(t - c, F.lit(0.0)) for i, c in enumerate(at, 1)}}
 
+def hinge_starts(model: FourierModel) -> list[float]:
+    return [CHANGEPOINT_RANGE * i / model.changepoints for i in range(1, model.changepoints + 1)]
 
-def design(df: DataFrame, spans: DataFrame, model: FourierModel, ts: str = "ts") -> DataFrame:
+
+def trend_columns(model: FourierModel, ts: str = "ts") -> dict[str, Column]:
+    """Scaled time, and one hinge per changepoint in the history's first part."""
+    t = scaled_time(ts)
+    return {"trend": t, **{f"hinge_{i}": F.greatest(t - c, F.lit(0.0)) for i, c in enumerate(hinge_starts(model), 1)}}
+
+
+def design_array(model: FourierModel, ts: str = "ts") -> Column:
+    """All features of a row as one array, in the order of `model.features()`."""
+    t, sec = scaled_time(ts), seconds_of(ts)
+    hinges = F.transform(F.array(*[F.lit(c) for c in hinge_starts(model)]), lambda c: F.greatest(t - c, F.lit(0.0)))
+    parts = [F.array(t), hinges]
+    terms = [F.struct(F.lit(SEASONALITIES[s][0]).alias("period"), F.lit(k).alias("k"))
+             for s in model.seasons for k in range(1, model.harmonics(s) + 1)]
+    if terms:
+        def pair(term):
+            angle = F.lit(2 * math.pi) * term["k"] * (F.pmod(sec, term["period"]) / term["period"].cast("double"))
+            return F.array(F.sin(angle), F.cos(angle))
+        parts.append(F.flatten(F.transform(F.array(*terms), pair)))
+    return F.concat(*parts)
+
+
+def named_design(df: DataFrame, spans: DataFrame, model: FourierModel, ts: str = "ts") -> DataFrame:
+    """The features as named columns, for inspection."""
     return attach(df, spans, list(model.keys)).withColumns({**trend_columns(model, ts), **fourier_columns(model, ts)})
 
 
@@ -88,9 +109,9 @@ def fit_fourier(df: DataFrame, value: str, model: FourierModel, ts: str = "ts")
     keys = list(model.keys)
     spans = history_spans(df, model, ts)
     y = F.col(value).cast("double")
-    frame = design(df.select(*keys, ts, (F.log1p(y) if model.multiplicative else y).alias("_y")), spans, model, ts)
-    fits = regress.fit(frame, model.features(), "_y", keys, model.penalty())
-    return attach(fits, spans, keys)
+    frame = attach(df.select(*keys, ts, (F.log1p(y) if model.multiplicative else y).alias("_y")), spans, keys) \
+        .withColumn("_x", design_array(model, ts))
+    return attach(regress.fit(frame, "_x", "_y", keys, model.penalty()), spans, keys)
 
 
 def future_grid(models: DataFrame, periods: int, model: FourierModel) -> DataFrame:
@@ -106,28 +127,26 @@ def predict_fourier(grid: DataFrame, models: DataFrame, model: FourierModel, ts:
 
     Components are on the modelled scale: their sum is log(1 + yhat) when multiplicative.
     """
-    keys, names = list(model.keys), model.features()
+    keys = list(model.keys)
     z = NormalDist().inv_cdf(1 - alpha / 2)
-    framed = attach(grid, models.select(*keys, "_lo", "_hi", "coef", "sigma"), keys) \
-        .withColumns({**trend_columns(model, ts), **fourier_columns(model, ts)})
-
-    def part(members: list[str]) -> Column:
-        out = F.lit(0.0)
-        for n in members:
-            out = out + F.col("coef")[names.index(n) + 1] * F.col(n)
-        return out
-
-    comps = {"trend_component": F.col("coef")[0] + part(["trend", *model.hinge_names()]),
-             **{f"{s}_component": part(model.seasonal_names(s)) for s in model.seasons}}
-    total = F.lit(0.0)
-    for c in comps:
-        total = total + F.col(c)
+    framed = attach(grid, models.select(*keys, "_lo", "_hi", "coef", "sigma"), keys).withColumn(
+        "_c", F.zip_with(design_array(model, ts), F.slice("coef", 2, len(model.features())), lambda x, c: x * c))
+
+    def part(first: int, n: int) -> Column:
+        return F.aggregate(F.slice("_c", first + 1, n), F.lit(0.0), lambda acc, v: acc + v)
+
+    at = 1 + model.changepoints
+    comps = {"trend_component": F.col("coef")[0] + part(0, at)}
+    for s in model.seasons:
+        n = len(model.seasonal_names(s))
+        comps[f"{s}_component"] = part(at, n) if n else F.lit(0.0)
+        at += n
     back = (lambda c: F.expm1(c)) if model.multiplicative else (lambda c: c)
-    band = F.lit(z) * F.col("sigma")
-    return framed.withColumns(comps).withColumns({
+    band, total = F.lit(z) * F.col("sigma"), F.col("_total")
+    return framed.withColumns(comps).withColumn("_total", sum((F.col(c) for c in comps), F.lit(0.0))).withColumns({
         "yhat": F.greatest(back(total), F.lit(0.0)), "yhat_lower": F.greatest(back(total - band), F.lit(0.0)),
         "yhat_upper": F.greatest(back(total + band), F.lit(0.0)),
-    }).drop(*names, "_lo", "_hi", "coef", "sigma")
+    }).drop("_c", "_total", "_lo", "_hi", "coef", "sigma")
 
 
 def changepoints(models: DataFrame, model: FourierModel) -> DataFrame:

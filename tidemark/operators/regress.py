@@ -22,26 +22,30 @@ def _key_fields(df: DataFrame, keys: list[str]) -> list[str]:
     return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema] if keys else []
 
 
-def cross_products(df: DataFrame, features: list[str], label: str, keys: list[str] = ()) -> DataFrame:
-    """`(keys, i, j, value)` for i <= j over `1, features.., label`; rows with a NULL are left out."""
-    keys, cols = list(keys), [*features, label]
-    whole = df.select(*keys, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]).na.drop(
-        subset=[f"_x{i}" for i in range(len(cols))])
-    size = len(cols) + 1
-    upper_i, upper_j = np.triu_indices(size)
+def cross_products(df: DataFrame, features: list[str] | str, label: str, keys: list[str] = ()) -> DataFrame:
+    """`(keys, i, j, value)` for i <= j over `1, features.., label`.
+
+    `features` names columns or one array column. Rows with a missing value are left out.
+    """
+    keys = list(keys)
+    x = F.col(features) if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+    rows = df.select(*keys, F.concat(F.array(F.lit(1.0)), x, F.array(F.col(label).cast("double"))).alias("_z"))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
-            for key, rows in parts:
-                z = np.column_stack([np.ones(len(rows)), rows.iloc[:, len(keys):].to_numpy()])
-                out = pd.DataFrame({"i": upper_i.astype("int32"), "j": upper_j.astype("int32"), "value": (z.T @ z)[upper_i, upper_j]})
+            for key, part in pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]:
+                z = np.array(part["_z"].tolist(), dtype="float64")
+                z = z[np.isfinite(z).all(axis=1)] if len(z) else z
+                if not len(z):
+                    continue
+                i, j = np.triu_indices(z.shape[1])
+                out = pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "value": (z.T @ z)[i, j]})
                 for n, v in zip(keys, key if isinstance(key, tuple) else (key,)):
                     out[n] = None if pd.isna(v) else v
                 yield out[[*keys, "i", "j", "value"]]
 
     schema = ", ".join([*_key_fields(df, keys), "i int", "j int", "value double"])
-    return whole.mapInPandas(sums, schema).groupBy(*keys, "i", "j").agg(F.sum("value").alias("value"))
+    return rows.mapInPandas(sums, schema).groupBy(*keys, "i", "j").agg(F.sum("value").alias("value"))
 
 
 def matrix_of(pdf: pd.DataFrame) -> np.ndarray:
@@ -81,12 +85,12 @@ def per_series(products: DataFrame, keys: list[str], solve: Callable[[np.ndarray
 FIT_SCHEMA = "n double, k int, sse double, sigma double, coef array<double>, stderr array<double>, aic double, bic double"
 
 
-def fit(df: DataFrame, features: list[str], label: str, keys: list[str] = (), penalty: list[float] | None = None) -> DataFrame:
+def fit(df: DataFrame, features: list[str] | str, label: str, keys: list[str] = (), penalty: list[float] | None = None) -> DataFrame:
     """One row per series: coefficients (intercept first), standard errors, SSE, sigma, AIC, BIC."""
-    k = len(features) + 1
     pen = None if penalty is None else np.array([0.0, *penalty])
 
     def solve(g: np.ndarray) -> list[dict]:
+        k = g.shape[0] - 1
         beta, sse, se = least_squares(g, list(range(k)), pen)
         n = g[0, 0]
         fit_term = n * np.log(max(sse, 1e-300) / n)

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timebins import bin_start
-from tidemark.operators.series import mark_outages, traffic_series
+from tidemark.operators.series import traffic_series
 from tidemark.plans.registry import table
 
 OUTAGE = ("2024-01-10 14:52:01", "2024-01-12 04:36:13")
 TEST_START = "2024-01-23"
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log records derived from `events`, plus `event_id` and `event_type`."""
-    e = table(spark, sf_dir, "events")
+def logs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Log records derived from `events` (or a stream of them), plus `event_id` and `event_type`."""
+    e = table(spark, sf_dir, "events") if events is None else events
     kind, n = F.col("event_type"), F.col("event_id")
     return e.select(
         n, kind,
@@ -48,7 +48,7 @@ LOGS_SQL = """
   FROM events"""
 
 
-def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clf_lines(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """`(event_id, line)`: the logs as CLF text with some malformed lines and bad dates."""
     n = F.col("event_id")
     stamp = F.when(n % 101 == 0, "31/Feb/2024:00:00:00") \
@@ -58,7 +58,7 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" "), F.col("protocol"), F.lit('" '), F.col("status_code").cast("string"), F.lit(" "),
         F.when(n % 11 == 0, "-").otherwise(F.col("bytes").cast("string")),
     )
-    return logs(spark, sf_dir).select(
+    return logs(spark, sf_dir, events).select(
         n, F.when(n % 97 == 0, F.concat(F.lit("bad line "), n.cast("string"))).otherwise(line).alias("line"))
 
 

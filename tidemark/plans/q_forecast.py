@@ -92,7 +92,7 @@ SELECT s.event_type, s.ts, {', '.join(cols)} FROM series s JOIN sp ON s.event_ty
 @query("fourier_features", _fourier_sql(), doubles=" ".join(_MODEL.features()))
 def fourier_features(spark, sf_dir):
     s = series(spark, sf_dir).select("event_type", "ts")
-    return Q.design(s, Q.history_spans(s, _MODEL), _MODEL).drop("_lo", "_hi")
+    return Q.named_design(s, Q.history_spans(s, _MODEL), _MODEL).drop("_lo", "_hi")
 
 
 def _fourier(spark, sf_dir):
