@@ -28,13 +28,16 @@ def fit_gbt(
 ) -> PipelineModel:
     """Fit a boosted-tree regression; with a validation set boosting stops when it no longer helps."""
     numeric = [f for f in features if f not in categorical]
-    data = train.withColumn("_valid", F.lit(False))
+    # Rows with gaps do not train; at prediction a missing value takes the upper branch, so
+    # every row gets a prediction.
+    complete = lambda df: df.na.drop(subset=[*numeric, label])
+    data = complete(train).withColumn("_valid", F.lit(False))
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="_raw", maxIter=max_iter, **{**GBT_DEFAULTS, **params})
     if validation is not None:
-        data = data.unionByName(validation.withColumn("_valid", F.lit(True)))
+        data = data.unionByName(complete(validation).withColumn("_valid", F.lit(True)))
         gbt = gbt.setValidationIndicatorCol("_valid")
     stages = [StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep") for c in categorical]
-    stages.append(VectorAssembler(inputCols=[*numeric, *[f"_i_{c}" for c in categorical]], outputCol="_features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"_i_{c}" for c in categorical]], outputCol="_features", handleInvalid="keep"))
     return Pipeline(stages=[*stages, gbt]).fit(data)
 
 

@@ -12,7 +12,7 @@ from tidemark.functions.stats import attach
 from tidemark.functions.timebins import seconds_of
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 from tidemark.schemas import (
-    FEATURE_CONFIGS, FEATURE_DEFAULTS, LABEL_COLUMNS, OUTAGE_COLUMN, TARGET_COLUMNS, require_columns, require_timestamp,
+    FEATURE_CONFIGS, FEATURE_DEFAULTS, GRANULARITIES, LABEL_COLUMNS, OUTAGE_COLUMN, TARGET_COLUMNS, require_columns, require_timestamp,
 )
 
 
@@ -132,7 +132,7 @@ def all_features(
     keys = list(keys)
     cfg = feature_config(granularity, **config)
     back = max([*cfg["lags"], *cfg["windows"], *cfg["diff_periods"], _smooth_reach(cfg["ewm_spans"])])
-    width = width if width is not None or granularity not in FEATURE_CONFIGS else granularity
+    width = width if width is not None or granularity not in GRANULARITIES else granularity
     df = _blocked(series, keys, ts, width, removed, back, block_rows)
     w = block_window(keys)
     frames = {

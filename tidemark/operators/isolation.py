@@ -8,11 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.stats import attach
 from tidemark.functions.timebins import seconds_of
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
-from tidemark.operators.regress import _key_fields
+from tidemark.operators.regress import _key_fields, python_partitions
 
 # Trees, expected share of outliers, rows per tree, seed.
 TREES, CONTAMINATION, SAMPLE_ROWS, SEED = 100, 0.05, 256, 42
@@ -84,7 +85,9 @@ def fit_forest(rows: DataFrame, keys: list[str] = (), ts: str = "ts", trees: int
         return out
 
     schema = ", ".join([*_key_fields(rows, keys), "tree int", _TREE])
-    return offered.groupBy(*keys, "tree").applyInPandas(grow, schema)
+    # Growing a tree is much work on few bytes: a fixed partition count keeps the optimizer
+    # from merging the groups into one task.
+    return offered.repartition(python_partitions(rows), *keys, "tree").groupBy(*keys, "tree").applyInPandas(grow, schema)
 
 
 def score_forest(rows: DataFrame, forest: DataFrame, keys: list[str] = (), ts: str = "ts") -> DataFrame:
@@ -127,7 +130,9 @@ def score_forest(rows: DataFrame, forest: DataFrame, keys: list[str] = (), ts: s
         return left_pdf[[*keys, ts]].assign(anomaly_score=np.exp2(-total / max(norm, 1e-12)))
 
     schema = ", ".join([*_key_fields(rows, [*keys, ts]), "anomaly_score double"])
-    scores = placed.groupBy(*keys, "_part").cogroup(spread.groupBy(*other, "_g_part")).applyInPandas(score, schema)
+    n = python_partitions(rows)
+    scores = placed.repartition(n, *keys, "_part").groupBy(*keys, "_part").cogroup(
+        spread.repartition(n, *other, "_g_part").groupBy(*other, "_g_part")).applyInPandas(score, schema)
     return attach(rows.drop("_x"), scores, [*keys, ts])
 
 
@@ -136,11 +141,13 @@ def detect_isolation_forest(
 ) -> DataFrame:
     """Add `anomaly_score` and `is_isolation_forest`: the `contamination` share scoring worst per key.
 
-    The first rows of a series lack features and are never flagged.
+    The first rows of a series lack features and are never flagged. Trees and scores are
+    used twice and therefore persisted; `unpersist` the result's session cache when done.
     """
     keys = list(keys)
     rows = traffic_features(series, value, keys, ts, width, removed, block_rows)
-    scored = score_forest(rows, fit_forest(rows, keys, ts, trees, seed), keys, ts)
+    forest = fit_forest(rows, keys, ts, trees, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = score_forest(rows, forest, keys, ts).persist(StorageLevel.MEMORY_AND_DISK)
     cut = scored.groupBy(*keys).agg(F.percentile("anomaly_score", 1 - contamination).alias("_cut"))
     return attach(scored, cut, keys).withColumn(
         "is_isolation_forest", F.coalesce(F.col("anomaly_score") > F.col("_cut"), F.lit(False))).drop("_cut")

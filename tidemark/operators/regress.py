@@ -22,6 +22,12 @@ def _key_fields(df: DataFrame, keys: list[str]) -> list[str]:
     return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema] if keys else []
 
 
+def python_partitions(df: DataFrame) -> int:
+    """Partitions for grouped Python work: every core gets some, however few the bytes."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cross_products(df: DataFrame, features: list[str] | str, label: str, keys: list[str] = ()) -> DataFrame:
     """`(keys, i, j, value)` for i <= j over `1, features.., label`.
 

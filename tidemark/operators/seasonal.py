@@ -14,8 +14,8 @@ from tidemark.functions.timebins import from_seconds, seconds_of, width_seconds
 from tidemark.operators import regress
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 
-# Seasons recommended per granularity, in rows.
-SEASONS = {"1min": 60, "5min": 12, "15min": 96}
+# Seasons recommended per granularity, in rows; a day for hourly series.
+SEASONS = {"1min": 60, "5min": 12, "15min": 96, "1h": 24}
 
 # Published asymptotic critical values of the unit-root test with a constant, and the
 # published response-surface coefficients of its p-value (below and above tau = -1.61).

@@ -29,11 +29,15 @@ def _clean(spark, sf_dir, freq="15min"):
     return S.drop_outages(series(spark, sf_dir, freq)).select("event_type", "ts", T, "bytes_total")
 
 
+def _features(spark, sf_dir):
+    f = X.all_features(_clean(spark, sf_dir, "1h").drop("bytes_total"), T, "1h", KEY, removed=[OUTAGE])
+    return f, X.feature_columns(f, keys=KEY)
+
+
 def _supervised(spark, sf_dir):
-    """One-step supervised rows of all series; the first feature rows lack a day of lags."""
-    f = X.all_features(_clean(spark, sf_dir).drop("bytes_total"), T, "15min", KEY, removed=[OUTAGE])
-    names = X.feature_columns(f, keys=KEY)
-    return X.supervised(f, T, names, 1, keys=KEY, width="15min", removed=[OUTAGE]), names
+    """One-step supervised rows of the hourly series."""
+    f, names = _features(spark, sf_dir)
+    return X.supervised(f, T, names, 1, keys=KEY, width="1h", removed=[OUTAGE]), names
 
 
 @query("anomaly_iforest")
@@ -67,9 +71,9 @@ def cv_scores(spark, sf_dir):
 
 @query("forecast_multi")
 def forecast_multi(spark, sf_dir):
-    f = X.all_features(_clean(spark, sf_dir).drop("bytes_total"), T, "15min", KEY, removed=[OUTAGE])
-    names = [c for c in X.feature_columns(f, keys=KEY) if "pct_change" not in c]
-    return B.forecast_direct(f, T, names, [1, 4, 96], KEY, max_iter=_ITER)
+    f, names = _features(spark, sf_dir)
+    usable = [c for c in names if "pct_change" not in c]
+    return B.forecast_direct(f, T, usable, [1, 4, 24], KEY, width="1h", max_iter=_ITER)
 
 
 @query("grid_search")
@@ -82,17 +86,18 @@ def grid_search(spark, sf_dir):
 
 @query("forecast_table")
 def forecast_table(spark, sf_dir):
-    clean = _clean(spark, sf_dir)
+    clean = _clean(spark, sf_dir, "1h")
     out = None
     for m in ("seasonal", "fourier", "trees"):
-        one = training.forecast_table(clean, T, m, 96, KEY, removed=[OUTAGE], max_iter=5).withColumn("model", F.lit(m))
+        one = training.forecast_table(clean, T, m, 48, KEY, "1h", removed=[OUTAGE], max_iter=5).withColumn("model", F.lit(m))
         out = one if out is None else out.unionByName(one)
     return out
 
 
 @query("train_evaluate")
 def train_evaluate(spark, sf_dir):
-    return training.train_and_evaluate(_clean(spark, sf_dir), test_start=TEST_START, keys=KEY, removed=[OUTAGE], max_iter=5)
+    return training.train_and_evaluate(
+        _clean(spark, sf_dir, "1h"), test_start=TEST_START, keys=KEY, granularity="1h", removed=[OUTAGE], max_iter=5, horizon=48)
 
 
 @query("series_sink", f"SELECT * FROM ({_MULTI}) WHERE granularity = '15min'", doubles=SERIES_DOUBLES)

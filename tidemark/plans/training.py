@@ -42,8 +42,9 @@ def train_and_evaluate(
         sup = X.supervised(feats, target, names, 1, keys=keys, width=granularity, removed=removed).persist(StorageLevel.MEMORY_AND_DISK)
         fit, hold = split_train_test(sup, test_start)
         trees = B.predict_gbt(B.fit_gbt(fit, names, max_iter=max_iter), hold).select(F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
-        sar = A.fit_seasonal_ar(train, target, keys=keys, width=granularity, removed=removed)
-        path = A.forecast_seasonal_ar(train, target, sar, horizon, granularity, keys=keys, removed=removed)
+        season = A.SEASONS[granularity]
+        sar = A.fit_seasonal_ar(train, target, season=season, keys=keys, width=granularity, removed=removed)
+        path = A.forecast_seasonal_ar(train, target, sar, horizon, granularity, keys=keys, removed=removed, max_lag=season + 1)
         model = Q.FourierModel(width=granularity, keys=tuple(keys))
         fits = Q.fit_fourier(train, target, model)
         curve = Q.predict_fourier(Q.future_grid(fits, horizon, model), fits, model)
@@ -62,8 +63,9 @@ def forecast_table(clean: DataFrame, target: str, model: str, horizon: int = 96,
     if not 1 <= horizon <= 672:
         raise ValueError("horizon must lie in 1..672")
     if model == "seasonal":
-        fits = A.fit_seasonal_ar(clean, target, keys=keys, width=granularity, removed=removed)
-        f = A.forecast_seasonal_ar(clean, target, fits, horizon, granularity, alpha, keys, removed=removed)
+        season = A.SEASONS[granularity]
+        fits = A.fit_seasonal_ar(clean, target, season=season, keys=keys, width=granularity, removed=removed)
+        f = A.forecast_seasonal_ar(clean, target, fits, horizon, granularity, alpha, keys, removed=removed, max_lag=season + 1)
         return f.select(*keys, "ts", F.col("forecast").alias("value"), "lower", "upper")
     if model == "fourier":
         m = Q.FourierModel(width=granularity, keys=tuple(keys))
