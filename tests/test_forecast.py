@@ -27,7 +27,7 @@ def test_fit_equals_least_squares_with_gaps(spark):
         z = np.column_stack([np.ones(len(part)), part[list("abc")]])
         beta, sse = np.linalg.lstsq(z, part.y.to_numpy(), rcond=None)[:2]
         np.testing.assert_allclose(r.coef, beta, atol=1e-9)
-        assert r.sse == pytest.approx(sse[0]) and r.n == 100
+        assert r.sse == pytest.approx(sse[0]) and r.n_obs == 100
 
 
 def test_seasonal_autoregression_continues_a_pattern(spark):

@@ -37,7 +37,7 @@ def test_log_is_scanned_once(spark, sf_dir):
 
 def test_distinct_hosts_are_spread_before_the_bin(spark, sf_dir):
     p = plan(S.traffic_series(logs(spark, sf_dir), "15min", fill_gaps=False))
-    assert re.search(r"hashpartitioning\(ts#\d+, host#\d+", p)
+    assert re.search(r"Exchange hashpartitioning\(\S+#\d+, host#\d+", p)
 
 
 NO_PAIRS = sorted(n for n in catalog.QUERIES if not n.startswith(

@@ -45,10 +45,11 @@ def test_late_rows_are_dropped(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     row = lambda t: ("h", datetime.fromisoformat(t), 200, 5)
     schema = "host string, timestamp timestamp_ntz, status_code int, bytes bigint"
-    for day in (["2024-01-01T00:05"], ["2024-01-01T05:00"], ["2024-01-01T00:06", "2024-01-01T09:00"]):
+    for day in (["2024-01-01T00:05"], ["2024-01-01T05:00"], ["2024-01-01T09:00"], ["2024-01-01T00:06", "2024-01-01T12:00"]):
         spark.createDataFrame([row(t) for t in day], schema).coalesce(1).write.mode("append").parquet(src)
     ST.run_to_parquet(ST.traffic_stream(files(spark, schema, src), "1h"), out, str(tmp_path / "c"))
-    assert {(str(r.ts), r.request_count) for r in spark.read.parquet(out).collect()} == {("2024-01-01 00:00:00", 1), ("2024-01-01 05:00:00", 1)}
+    assert {(str(r.ts), r.request_count) for r in spark.read.parquet(out).collect()} == {
+        (f"2024-01-01 0{h}:00:00", 1) for h in (0, 5, 9)}
 
 
 def test_needs_utc(spark, sf_dir):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import GRANULARITIES
 
 
+# Seconds from 0001-01-01 to 1970-01-01.
+_YEAR_ONE = 62135596800
+
+
 def width_seconds(width: str | int) -> int:
     """Seconds of a bin width given as a granularity name or a number of seconds."""
     return GRANULARITIES[width] if isinstance(width, str) else int(width)
@@ -18,16 +22,19 @@ def epoch() -> Column:
 
 
 def seconds_of(ts: Column | str) -> Column:
-    """Whole seconds from 1970-01-01 to a wall-clock timestamp."""
+    """Whole seconds from 1970-01-01 to a wall-clock timestamp, rounded down.
+
+    Long arithmetic only, as every log row passes here. Counting from the year 1 keeps the
+    interval positive, so that its truncating cast rounds down.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    # The interval cast truncates towards zero; flooring keeps pre-1970 bins right.
-    exact = (ts - epoch()).cast("interval second").cast("decimal(20,6)")
-    return F.floor(exact).cast("bigint")
+    since = (ts - F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")).cast("interval second").cast("bigint")
+    return since - F.lit(_YEAR_ONE).cast("bigint")
 
 
 def from_seconds(sec: Column) -> Column:
     """Inverse of `seconds_of`."""
-    return epoch() + F.make_dt_interval(secs=sec.cast("decimal(18,6)"))
+    return epoch() + F.expr("INTERVAL '1' SECOND") * sec.cast("bigint")
 
 
 def bin_start(ts: Column | str, width: str | int | Column) -> Column:
@@ -37,6 +44,14 @@ def bin_start(ts: Column | str, width: str | int | Column) -> Column:
     return from_seconds(sec - F.pmod(sec, w))
 
 
+def with_bin(df: DataFrame, ts: str, width: str | int, name: str) -> DataFrame:
+    """Add the bin start for one fixed width with Spark's tumbling window, the fastest form.
+
+    Rows without a timestamp belong to no bin and are left out.
+    """
+    return df.withColumn(name, F.window(ts, f"{width_seconds(width)} seconds")["start"])
+
+
 def bin_index(ts: Column | str, width: str | int) -> Column:
     """Number of the bin holding `ts`, counted from 1970-01-01."""
     return F.floor(seconds_of(ts) / F.lit(width_seconds(width))).cast("bigint")

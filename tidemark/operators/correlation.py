@@ -98,6 +98,5 @@ def pacf(series, value, lags=60, keys=(), ts="ts", width=None, removed=(), block
         return res
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cov.select(*keys).schema]
-    groups = cov.groupBy(*keys) if keys else cov.groupBy(F.lit(0))
-    out = groups.applyInPandas(recurse, ", ".join([*fields, "lag int", "pacf double"]))
+    out = cov.groupBy(*keys).applyInPandas(recurse, ", ".join([*fields, "lag int", "pacf double"]))
     return out.withColumn("pacf", F.when(~F.isnan("pacf"), F.col("pacf")))

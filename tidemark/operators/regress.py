@@ -84,11 +84,10 @@ def per_series(products: DataFrame, keys: list[str], solve: Callable[[np.ndarray
             out.insert(n, c, [pdf[c].iloc[0]] * len(out))
         return out
 
-    groups = products.groupBy(*keys) if keys else products.groupBy(F.lit(0))
-    return groups.applyInPandas(run, ", ".join([*_key_fields(products, keys), schema]))
+    return products.groupBy(*keys).applyInPandas(run, ", ".join([*_key_fields(products, keys), schema]))
 
 
-FIT_SCHEMA = "n double, k int, sse double, sigma double, coef array<double>, stderr array<double>, aic double, bic double"
+FIT_SCHEMA = "n_obs double, parameters int, sse double, sigma double, coef array<double>, stderr array<double>, aic double, bic double"
 
 
 def fit(df: DataFrame, features: list[str] | str, label: str, keys: list[str] = (), penalty: list[float] | None = None) -> DataFrame:
@@ -100,7 +99,7 @@ def fit(df: DataFrame, features: list[str] | str, label: str, keys: list[str] =
         beta, sse, se = least_squares(g, list(range(k)), pen)
         n = g[0, 0]
         fit_term = n * np.log(max(sse, 1e-300) / n)
-        return [{"n": n, "k": k, "sse": sse, "sigma": float(np.sqrt(sse / max(n - k, 1.0))), "coef": beta.tolist(),
+        return [{"n_obs": n, "parameters": k, "sse": sse, "sigma": float(np.sqrt(sse / max(n - k, 1.0))), "coef": beta.tolist(),
                  "stderr": se.tolist(), "aic": fit_term + 2 * k, "bic": fit_term + k * np.log(n)}]
 
     return per_series(cross_products(df, features, label, keys), keys, solve, FIT_SCHEMA)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.stats import attach, exact_quantiles
-from tidemark.functions.timebins import bin_start, from_seconds, interval_seconds, ntz, seconds_of, width_seconds
+from tidemark.functions.timebins import from_seconds, interval_seconds, ntz, seconds_of, width_seconds, with_bin
 from tidemark.schemas import (
     GRANULARITIES, OUTAGE, OUTAGE_COLUMN, SAVED_GRANULARITIES, TEST_START, require_columns, require_timestamp,
 )
@@ -61,7 +61,8 @@ def traffic_series(
     """
     require_timestamp(logs, ts)
     keys = list(keys)
-    series = _with_rates(logs.groupBy(*keys, bin_start(ts, freq).alias("ts")).agg(*_traffic_aggregates()))
+    binned = with_bin(logs, ts, freq, "_bin")
+    series = _with_rates(binned.groupBy(*keys, F.col("_bin").alias("ts")).agg(*_traffic_aggregates()))
     if fill_gaps:
         series = fill_grid(series, freq, keys)
     return mark_outages(series, outages) if outages is not None else series
@@ -138,13 +139,11 @@ def all_granularities(
     per width; the partial aggregation before the exchange absorbs the repetition.
     """
     keys = list(keys)
-    widths = F.array(*[
-        F.struct(F.lit(g).alias("granularity"), F.lit(GRANULARITIES[g]).cast("bigint").alias("w"))
-        for g in granularities
-    ])
-    spread = logs.withColumn("_g", F.explode(widths)).withColumns({
-        "granularity": F.col("_g.granularity"), "_bin": bin_start(ts, F.col("_g.w")),
-    })
+    spread = logs
+    for g in granularities:
+        spread = with_bin(spread, ts, g, f"_bin_{g}")
+    pairs = F.array(*[F.struct(F.lit(g).alias("granularity"), F.col(f"_bin_{g}").alias("bin")) for g in granularities])
+    spread = spread.withColumn("_g", F.explode(pairs)).withColumns({"granularity": F.col("_g.granularity"), "_bin": F.col("_g.bin")})
     series = _with_rates(
         spread.groupBy("granularity", *keys, F.col("_bin").alias("ts")).agg(*_traffic_aggregates()))
     if fill_gaps:
@@ -156,9 +155,10 @@ def all_granularities(
 
 def rollup(series: DataFrame, freq: str | int = "1h", keys: list[str] = (), ts: str = "ts") -> DataFrame:
     """Re-aggregate a finer series by summing its additive columns."""
+    binned = with_bin(series, ts, freq, "_bin")
     additive = [c for c in ("request_count", "bytes_total", "success_count", "error_count", "server_error_count")
                 if c in series.columns]
-    return series.groupBy(*keys, bin_start(ts, freq).alias("ts")).agg(*[F.sum(c).alias(c) for c in additive])
+    return binned.groupBy(*keys, F.col("_bin").alias("ts")).agg(*[F.sum(c).alias(c) for c in additive])
 
 
 def data_summary(logs: DataFrame, ts: str = "timestamp", outage=OUTAGE) -> DataFrame:
