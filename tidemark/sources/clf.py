@@ -38,7 +38,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], encoding: str = "ISO
     """Scan text files into `(file, line)`; breaks at \\n, \\r\\n and \\r."""
     raw = spark.read.text(paths)
     return raw.select(
-        F.col("_metadata.file_path").alias("file"),
+        F.input_file_name().alias("file"),
         F.decode(F.col("value").cast("binary"), encoding).alias("line"),
     )
 
@@ -59,7 +59,9 @@ def parse(lines: DataFrame, line: str = "line") -> DataFrame:
             hours=num[5], mins=num[6], secs=num[7].cast("decimal(16,6)")),
     )
     matched = (f[0] == "") & (F.size("_f") == len(f))
-    split = lines.withColumn("_f", _fields(F.col(line)))
+    # The one-element explode keeps the optimizer from copying the regex into every use of
+    # its result, and filters on the result from pulling it below.
+    split = lines.withColumn("_f", F.explode(F.array(_fields(F.col(line)))))
     typed = split.withColumn("timestamp", F.when(matched, stamp))
     good = F.col("timestamp").isNotNull()
     return typed.select(
