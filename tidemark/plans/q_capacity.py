@@ -59,7 +59,7 @@ def _fixed_sql(source: str, size: str, group: str, label: str = "") -> str:
     cost = f"(count(*) * max(sz) * 0.25 * {_PRICE})"
     return f"""SELECT {group}{label}, count(*) * max(sz) * 0.25 AS total_server_hours, {cost} AS total_cost,
   CAST(max(sz) AS DOUBLE) AS average_servers, max(sz) AS peak_servers, max(sz) AS min_servers,
-  {cost} * greatest(0, sum(cap) - sum({T})) / sum(cap) AS overprovisioning_cost,
+  {cost} * coalesce(greatest(0, sum(cap) - sum({T})) / nullif(sum(cap), 0), 0) AS overprovisioning_cost,
   count(*) FILTER (WHERE {T} > cap) AS underprovisioning_events,
   CAST(floor(sum(greatest(0, {T} - cap))) AS BIGINT) AS dropped_requests,
   count(*) FILTER (WHERE {T} > cap) * 100.0 / count(*) AS sla_violation_rate
