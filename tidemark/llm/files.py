@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that all executors share, removed when the application ends.
-
-    It lies in the configured `spark.checkpoint.dir`; only where that is unset, in the warehouse, which is shared as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    path = f"{(base or spark.conf.get('spark.sql.warehouse.dir') + '/scratch').rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+from tidemark.session import scratch_dir
 
 
 def settled(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read back: lineage ends here, and a lost executor costs nothing."""
-    path = f"{shared_folder(df.sparkSession, purpose)}/rows"
+    path = f"{scratch_dir(df.sparkSession, purpose)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

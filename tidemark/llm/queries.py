@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, pieces, quality, secrets, token_files, top_k, warc
-from tidemark.llm.files import shared_folder
+from tidemark.llm import decontaminate, language, near_copies, pieces, quality, secrets, token_files, top_k, warc
 from tidemark.llm.oracles import ORACLES  # noqa: F401
+from tidemark.session import scratch_dir
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,7 +32,7 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back through their index."""
-    folder = shared_folder(spark, "token-files")
+    folder = scratch_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"))
     return token_files.read(spark, folder).drop("ordinal")
 
@@ -42,6 +42,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document."""
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products of every hundredth vector."""
     return top_k.report(table(spark, sf_dir, "embeddings"))
@@ -54,7 +59,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as web archives and read back."""
-    folder = shared_folder(spark, "warc")
+    folder = scratch_dir(spark, "warc")
     warc.write(warc.with_roles(table(spark, sf_dir, "pages")), folder)
     return warc.read(spark, folder)
 
@@ -65,4 +70,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op3_secret_scans, op4_token_files, op5_language_id, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece)}
+    op1_quality_classifier, op3_secret_scans, op4_token_files, op5_language_id, op6_near_copies, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece)}

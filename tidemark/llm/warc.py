@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.files import read_blobs, write_blobs
+from tidemark.llm.files import read_blobs, settled, write_blobs
 
 CHUNK_BYTES = 1 << 20
 #: Archive files end at the first record beyond so many bytes.
 FILE_BYTES = 8 << 20
 LEAST_REVISIT = 100
+#: Most revisits that are broadcast to the pages; more are joined by a shuffle.
+BROADCAST_REVISITS = 1 << 18
 DATE = "2024-01-01T00:00:00Z"
 END = b"\r\n\r\n"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -41,6 +43,9 @@ def with_roles(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     later = ids.join(first, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
     later = later.select(F.coalesce("page_id", F.lit(-1)).alias("_id"), F.col("page_id").isNull().alias("_null"), F.col("payload_digest").alias("_digest"), "refers_to")
     keyed = rows.withColumns({"_id": F.coalesce("page_id", F.lit(-1)), "_null": F.col("page_id").isNull(), "_digest": F.col("payload_digest")})
+    later = settled(later, "revisits")
+    if later.count() <= BROADCAST_REVISITS:
+        later = F.broadcast(later)
     return keyed.join(later, ["_id", "_null", "_digest"], "left").drop("_id", "_null", "_digest")
 
 
