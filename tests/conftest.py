@@ -9,8 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from tidemark.session import local_session
-    s = local_session(8, 4, "tests")
-    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
+    s = local_session(8, 4, "tests", str(tmp_path_factory.mktemp("shared")))
+    s.sparkContext.setCheckpointDir(s.conf.get("spark.checkpoint.dir"))
     return s
 
 

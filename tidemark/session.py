@@ -2,37 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
-    """A local session; on a cluster pass your own session to the operators instead."""
-    spark = (
+def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "tidemark", shared_dir: str | None = None) -> SparkSession:
+    """A local session, with `shared_dir` as its shared folder; on a cluster pass your own session to the operators instead."""
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared_dir:
+        builder = builder.config("spark.checkpoint.dir", shared_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared `spark.checkpoint.dir`.
+    """A fresh folder that all executors share, removed when the application ends.
 
-    Only a local session without that setting falls back to the machine's own
-    temporary folder.
+    It lies in `spark.checkpoint.dir`, or where `setCheckpointDir` points; where neither is set, in the session's
+    warehouse, which is shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    path = f"{base.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
