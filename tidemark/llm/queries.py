@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, near_copies, pieces, quality, secrets, token_files, top_k, warc
+from tidemark.llm import decontaminate, language, near_copies, pieces, quality, repeats, secrets, token_files, top_k, warc
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.session import scratch_dir
 
@@ -25,6 +25,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur again."""
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -70,4 +75,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op3_secret_scans, op4_token_files, op5_language_id, op6_near_copies, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece)}
+    op1_quality_classifier, op2_repeated_strings, op3_secret_scans, op4_token_files, op5_language_id, op6_near_copies, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece)}
