@@ -25,7 +25,7 @@ SLOTS = 1 << 12
 #: The scorer learns from about so many documents, chosen by a hash of the text, in so many parts whose weights are averaged.
 TRAIN_TEXTS, TRAIN_PARTS = 16_000, 8
 #: Documents that score below are rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.8
 
 _SOLID = np.ones(256, bool)
 _SOLID[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -98,7 +98,7 @@ def votes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Share of good documents, and each labeller's chances of its three votes under bad and good texts."""
+    """Share of good documents, and each labeller's chances of a bad and a good vote, when it votes, under bad and good texts."""
 
     prior: float
     chances: np.ndarray  # class, labeller, vote
@@ -107,18 +107,19 @@ class LabelModel:
     def fit(cls, patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, tolerance: float = 1e-9) -> LabelModel:
         """Expectation-maximisation over vote patterns and how many documents show each.
 
-        It starts from the majority of votes, and a document without a majority starts as good as the rest.
+        It starts with every document that any labeller objects to as bad. A labeller that does not vote says nothing.
         """
-        balance = (patterns == GOOD).sum(1) - (patterns == BAD).sum(1)
-        good = 1 / (1 + np.exp(-2.0 * balance))
+        good = np.where((patterns == BAD).any(1), 0.1, 0.95)
         total = counts.sum()
-        model = cls(0.5, np.full((2, patterns.shape[1], 3), 1 / 3))
+        model = cls(0.5, np.full((2, patterns.shape[1], 3), 0.5))
         last = -np.inf
         for _ in range(rounds):
             for c, w in enumerate((counts * (1 - good), counts * good)):
-                for v in (NOTHING, BAD, GOOD):
+                for v in (BAD, GOOD):
                     model.chances[c, :, v] = ((patterns == v) * w[:, None]).sum(0) + 0.5
+                model.chances[c, :, NOTHING] = 0
                 model.chances[c] /= model.chances[c].sum(1, keepdims=True)
+                model.chances[c, :, NOTHING] = 1
             model.prior = float(((counts * good).sum() + 0.5) / (total + 1))
             good, likelihood = model._posterior(patterns)
             now = float((counts * likelihood).sum())
@@ -172,7 +173,7 @@ class Scorer:
     @classmethod
     def fit(cls, features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 1.0, decay: float = 1e-5) -> Scorer:
         """Logistic regression on soft labels; both classes weigh the same."""
-        size = np.array([len(f) for f in features])
+        size = np.array([len(f) for f in features], np.int64)
         rows, cols = np.repeat(np.arange(len(features)), size), np.concatenate([*features, np.zeros(0, np.int64)]).astype(np.int64)
         pairs, counts = np.unique(rows * SLOTS + cols, return_counts=True)
         rows, cols = pairs // SLOTS, pairs % SLOTS
@@ -217,7 +218,7 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit_labels(docs: DataFrame) -> LabelModel:
     """The label model of all documents; the driver receives the counts of at most 3 ** 8 vote patterns."""
     found = docs.select("text").mapInArrow(_count_patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
-    return LabelModel.fit(_unpacked(np.array([r.pattern for r in found], np.int64)), np.array([r.n for r in found], np.float64)) if found else LabelModel(0.5, np.full((2, len(LABELLERS), 3), 1 / 3))
+    return LabelModel.fit(_unpacked(np.array([r.pattern for r in found], np.int64)), np.array([r.n for r in found], np.float64)) if found else LabelModel(0.5, np.full((2, len(LABELLERS), 3), 0.5))
 
 
 def _features(model: LabelModel):
