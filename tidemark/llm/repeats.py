@@ -4,7 +4,7 @@ A string of `length` bytes that occurs twice holds, at the same place in both, t
 suffixes are kept (one for about 150 bytes), each with the run of window starts that chose it. They fall into buckets by
 q-gram. A bucket is refined by the bytes around it: the windows that a suffix stands for lie at offsets lo..hi before it; what
 they all share decides the bucket, what any of them holds tells members apart. Members that agree on all of it are repeated;
-a bucket with one member is done; the rest is split into the lower and the upper half of the offsets, whose buckets
+a bucket with one member is done; the rest is split into parts of the offsets, whose buckets
 are the old bucket's identifier joined with that of the bytes further on, and so on down to single windows. Small buckets are
 finished where they are, by sorting the identifiers of all their windows; only large ones are dealt out again.
 
@@ -28,6 +28,8 @@ from tidemark.llm.texts import BYTE_VALUES, STEP_BYTES, mixed, powers, steps
 LENGTH, GRAM = 400, 100
 #: Members of a bucket that one task finishes; larger ones are refined first.
 SMALL_BUCKET = 128
+#: Parts that a large bucket's offsets are split into.
+PARTS = 8
 #: Rows whose windows are sorted at once.
 STEP_ROWS = 2048
 #: Most document ids that are broadcast to read their texts again; more are joined by a shuffle.
@@ -165,21 +167,22 @@ def _contents(length: int):
 
 
 def _refined(length: int):
-    """Each row's lower and upper half of offsets, under the identifiers of what is shared and held there."""
+    """Each row's parts of the offsets, under the identifiers of what is shared and held there."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for sub, bucket, member, lo, hi, content, place, partner, low, high in zip(*(batch.column(c).to_pylist() for c in (
                     "sub", "bucket", "member", "lo", "hi", "content", "place", "partner", "low", "high"))):
-                middle = (low + high) // 2
-                for half, (a, b) in enumerate(((low, middle), (middle + 1, high))):
+                width = -(-(high - low + 1) // PARTS)
+                for part, a in enumerate(range(low, high + 1, width)):
+                    b = min(a + width - 1, high)
                     x, y = max(a, lo), min(b, hi)
-                    if a > b or x > y:
+                    if x > y:
                         continue
                     shared = content[max(0, place - a) : place + length - b]
-                    # A member whose windows do not reach over the whole half still shares the bytes of the windows it has.
-                    mark = hashlib.blake2b(b"%d:%d:%d:" % (sub, half, place - max(0, place - a)) + shared, digest_size=8).digest()
+                    # A member whose windows do not reach over the whole part still shares the bytes of the windows it has.
+                    mark = hashlib.blake2b(b"%d:%d:%d:" % (sub, part, place - max(0, place - a)) + shared, digest_size=8).digest()
                     held = hashlib.blake2b(b"%d:%d:" % (x, y) + content[place - y : place - x + length], digest_size=8).digest()
                     out.append((int.from_bytes(mark, "little", signed=True), bucket, member, x, y, content, place, int.from_bytes(held, "little", signed=True), partner, a, b))
             if out:
