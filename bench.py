@@ -18,7 +18,7 @@ from tidemark.session import local_session  # noqa: E402
 HEADLINES = [
     "clf_parse", "ts_agg_15min", "ts_agg_1h_by_type", "ts_filled_15min", "multi_granularity", "data_summary", "hourly_profile",
     "heatmap_pivot", "describe_series", "all_features_15min", "ewm_features", "acf", "anomaly_combined", "anomaly_report",
-    "metrics", "fixed_cost_curve", "strategy_compare", "policy_sweep", "sar_normal_eq", "forecast_sar", "forecast_fourier",
+    "metrics", "fixed_cost_curve", "strategy_compare", "sar_normal_eq", "forecast_sar", "forecast_fourier",
 ]
 
 

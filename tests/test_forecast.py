@@ -142,3 +142,18 @@ def test_direct_labels(spark):
     df = make(spark, [pd.DataFrame({"ts": t, "x": range(10)})])
     got = B.direct_labels(df, "x", [1, 3], width="1h").where("label is not null").toPandas()
     assert len(got) == 9 + 7 and (got.label - got.x == got.horizon).all()
+
+
+def test_short_and_constant_series_are_reported(spark):
+    noise = np.random.default_rng(3).normal(size=300)
+    rows = [("long", i, float(50 + 5 * noise[i])) for i in range(300)] + [("short", i, float(i)) for i in range(10)] + [("flat", i, 3.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, i int, x double").selectExpr("k", "cast(timestamp_seconds(1704067200 + i * 3600) AS timestamp_ntz) AS ts", "x")
+    keys = {"long", "short", "flat"}
+    tests = {r.k: r for r in A.check_stationarity(df, "x", 24, keys=["k"]).collect()}
+    assert set(tests) == keys and tests["short"].is_stationary is None and tests["flat"].conclusion is None and tests["long"].is_stationary is not None
+    d = {r.k: r.d for r in A.select_d(df, "x", 1, ["k"], max_lag=12).collect()}
+    assert set(d) == keys and d["short"] is None
+    assert {r.k for r in A.order_search(df, "x", d_range=[0], season=24, keys=["k"]).collect()} == keys
+    fits = A.fit_seasonal_ar(df, "x", season=24, keys=["k"])
+    assert {r.k: r.coef is None for r in fits.collect()} == {"long": False, "short": True, "flat": False}
+    assert {r.k for r in A.forecast_seasonal_ar(df, "x", fits, 5, "1h", keys=["k"], max_lag=25).collect()} == {"long", "flat"}

@@ -3,10 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.replay import replay
 from tidemark.plans.inputs import clf_lines, logs, series
 from tidemark.plans.q_capacity import CONFIG
-from tidemark.schemas import ScalingPolicy
 from tidemark.sources import clf
 from tidemark.streaming import traffic as ST
 
@@ -61,19 +59,6 @@ def test_needs_utc(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_policy_state_survives_triggers(spark, sf_dir, tmp_path):
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    s = series(spark, sf_dir, "1h").select("event_type", "ts", "request_count", "bytes_total")
-    write_in_order(s, src, ["2024-01-05", "2024-01-15"], "ts")
-    policy = ScalingPolicy(cooldown_period=150, consecutive_breaches=2)
-    ST.run_to_parquet(ST.policy_stream(files(spark, s.schema, src), policy, CONFIG, "event_type"), out, str(tmp_path / "c"))
-    got = spark.read.parquet(out)
-    want = replay(s, {"p": (policy, False)}, CONFIG, 15, ["event_type"])
-    cols = ["event_type", "ts", "servers", "action", "changed", "is_overloaded", "dropped_requests"]
-    assert got.count() == s.count() and got.select(cols).exceptAll(want.select(cols)).count() == 0
-    assert got.where("changed").count() > 0
-
-
 def test_parse_stream_keeps_every_line(spark, sf_dir, tmp_path):
     lines = clf_lines(spark, sf_dir)
     src = str(tmp_path / "in")

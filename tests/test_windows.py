@@ -130,3 +130,18 @@ def test_isolation_forest(hourly, keys):
     assert len(out) == 900 and not out.is_isolation_forest[:3].any() and out.anomaly_score[:3].isna().all()
     assert abs(out.is_isolation_forest.mean() - 0.05) < 0.01
     assert out.loc[out.x.idxmax(), "is_isolation_forest"]
+
+
+@pytest.mark.parametrize("block_rows", [4, 16, 8192])
+def test_series_with_random_holes(hourly, block_rows):
+    """Lags, means and smoothed values by row, whatever rows are missing."""
+    pdf, df = hourly
+    kept = pdf[(pdf["ts"].dt.dayofyear * 7 + pdf["ts"].dt.hour * 5) % 11 > 2]
+    kept = kept[~((kept["ts"] > "2024-01-09 03:00") & (kept["ts"] < "2024-01-11 09:00"))]
+    holes = df.join(df.sparkSession.createDataFrame(kept[["k", "ts"]]).selectExpr("k", "cast(ts AS timestamp_ntz) AS ts"), ["k", "ts"])
+    got = collect(X.add_ewm(X.add_rolling(X.add_lags(holes, "x", [1, 3], ["k"], width="1h", block_rows=block_rows), "x", [3], ["k"], block_rows=block_rows), "x", [4], ["k"], width="1h", block_rows=block_rows), "k", "ts")
+    want = kept.sort_values(["k", "ts"]).reset_index(drop=True)
+    g = want.groupby("k")["x"]
+    pd.testing.assert_series_equal(got["x_lag_3"].astype("float64"), g.shift(3).astype("float64"), check_names=False)
+    pd.testing.assert_series_equal(got["x_rolling_mean_3"].astype("float64"), g.transform(lambda v: v.rolling(3, min_periods=1).mean()), check_names=False)
+    pd.testing.assert_series_equal(got["x_ewm_4"].astype("float64"), g.transform(lambda v: v.ewm(span=4, adjust=False).mean()), check_names=False)

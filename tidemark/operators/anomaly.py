@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.stats import attach
+from tidemark.functions.stats import attach, exact_quantiles
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 
 # The detectors' default parameters.
@@ -47,10 +47,10 @@ def detect(
     keys = list(keys)
     p = {m: {**DEFAULTS[m], **(params or {}).get(m, {})} for m in methods}
     stats = [F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")]
-    if "iqr" in p:
-        # The buffer holds the distinct values of one binned series.
-        stats.append(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
     df = attach(series, series.groupBy(*keys).agg(*stats), keys)
+    if "iqr" in p:
+        quartiles = exact_quantiles(series, value, {"_q1": 0.25, "_q3": 0.75}, keys)
+        df = attach(df, quartiles, keys)
     x = F.col(value)
     new: dict[str, Column] = {}
     if "zscore" in p:
@@ -58,8 +58,8 @@ def detect(
         new["zscore"] = z
         new["is_zscore"] = _flag(F.abs(z) > p["zscore"]["threshold"])
     if "iqr" in p:
-        reach = p["iqr"]["k"] * (F.col("_q")[1] - F.col("_q")[0])
-        new["is_iqr"] = _flag((x < F.col("_q")[0] - reach) | (x > F.col("_q")[1] + reach))
+        reach = p["iqr"]["k"] * (F.col("_q3") - F.col("_q1"))
+        new["is_iqr"] = _flag((x < F.col("_q1") - reach) | (x > F.col("_q3") + reach))
     df = df.withColumns(new)
     if any(m in _FRAMED for m in p):
         back = max(p[m]["window"] for m in p if m in _FRAMED)
@@ -85,7 +85,7 @@ def detect(
             base = F.coalesce(F.avg(value).over(frame), F.col("_mean"))
             framed["is_drop"] = _flag(x < p["drop"]["threshold"] * base)
         df = own_rows(df.withColumns(framed))
-    return df.drop("_mean", "_std", "_q")
+    return df.drop("_mean", "_std", "_q1", "_q3")
 
 
 def detect_zscore(series, value, threshold=3.0, **options) -> DataFrame:
@@ -162,9 +162,9 @@ def anomaly_timestamps(
 
 def anomaly_points(
     series: DataFrame, value: str, method: str = "zscore", threshold: float = 3.0, window: int = 24,
-    keys: list[str] = (), ts: str = "ts", limit: int | None = 100, **options,
+    keys: list[str] = (), ts: str = "ts", limit: int | None = None, **options,
 ) -> DataFrame:
-    """The first anomalies with value, score and whether they lie above or below the mean.
+    """The anomalies (the first `limit`, where given) with value, score and whether they lie above or below the mean.
 
     The score is the threshold itself unless the combined score is asked for.
     """

@@ -9,34 +9,18 @@ a long or only series runs on as many tasks as it has blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import attach
-from tidemark.functions.timebins import seconds_of, width_seconds
+from tidemark.functions.timebins import seconds_of
 
 BLOCK_ROWS = 8192
 _CHUNK_SECONDS = 30 * 86400
 
 
-def grid_position(ts: str, width: str | int, removed=()) -> Column:
-    """Position of a row in a regular grid from which closed intervals were removed.
-
-    Consecutive remaining rows get consecutive numbers, by arithmetic alone. Rows inside
-    a removed interval have no meaningful position.
-    """
-    w = width_seconds(width)
-    pos = F.floor(seconds_of(ts) / F.lit(w)).cast("bigint")
-    gone = F.lit(0).cast("bigint")
-    for start, end in removed:
-        first = F.ceil(seconds_of(F.lit(str(start)).cast("timestamp_ntz")) / F.lit(w)).cast("bigint")
-        last = F.floor(seconds_of(F.lit(str(end)).cast("timestamp_ntz")) / F.lit(w)).cast("bigint")
-        gone = gone + F.when(pos > last, last - first + 1).otherwise(F.lit(0).cast("bigint"))
-    return pos - gone
-
-
 def with_dense_position(df: DataFrame, keys: list[str], ts: str, name: str = "_pos") -> DataFrame:
-    """Add the 0-based rank of each row in its series, for series without a regular grid.
+    """Add the 0-based rank of each row in its series.
 
     Rows are counted per 30-day chunk, the few chunk counts are summed up in order, and
     rows are numbered inside their chunk.
@@ -51,9 +35,11 @@ def with_dense_position(df: DataFrame, keys: list[str], ts: str, name: str = "_p
 
 
 def positioned(df: DataFrame, keys: list[str], ts: str, width=None, removed=()) -> DataFrame:
-    """Add `_pos`: by arithmetic for a grid of known `width`, by counting otherwise."""
-    if width is not None:
-        return df.withColumn("_pos", grid_position(ts, width, removed))
+    """Add `_pos`, the row's number in its series.
+
+    Frames count rows, so positions do too, whatever the grid: rows may be missing anywhere. `width` and `removed` let
+    callers describe their grid and change nothing.
+    """
     return with_dense_position(df, keys, ts)
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import calendar_columns, safe_ratio
 from tidemark.functions.stats import attach
-from tidemark.functions.timebins import seconds_of
+from tidemark.functions.timebins import from_seconds, seconds_of, width_seconds
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 from tidemark.schemas import (
-    FEATURE_CONFIGS, FEATURE_DEFAULTS, GRANULARITIES, LABEL_COLUMNS, OUTAGE_COLUMN, TARGET_COLUMNS, require_columns, require_timestamp,
+    FEATURE_CONFIGS, FEATURE_DEFAULTS, LABEL_COLUMNS, OUTAGE_COLUMN, TARGET_COLUMNS, require_columns, require_timestamp,
 )
 
 
@@ -101,11 +101,24 @@ def _apply(series, keys, ts, width, removed, block_rows, back, build, spans=(),
     return own_rows(df)
 
 
-def add_lags(series, target, lags, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    """Earlier values by row. `width` and `removed` describe a regular grid; see `blocks.positioned`."""
+def add_lags(series, target, lags, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS, time_based=False) -> DataFrame:
+    """Earlier values: by row, or with `time_based` those that lie `lag` times `width` back in time (NULL where there is no such row)."""
+    if time_based:
+        return _time_lags(series, target, lags, list(keys), ts, width)
     return _apply(series, keys, ts, width, removed, block_rows, max(lags), lambda w: lag_columns(target, lags, w))
 
 
+def _time_lags(series, target, lags, keys, ts, width) -> DataFrame:
+    """Each row hands its value to the times it is a lag of; one join brings all lags back. Times must be unique in a series."""
+    if width is None:
+        raise ValueError("time-based lags need the width of one step")
+    step = width_seconds(width)
+    given = series.select(*keys, F.col(ts).alias("_from"), F.col(target).alias("_v"), F.explode(F.array(*[F.lit(k) for k in lags])).alias("_k"))
+    later = given.withColumn("_to", from_seconds(seconds_of("_from") + F.col("_k") * step))
+    lagged = later.groupBy(*keys, "_to").agg(*[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"{target}_lag_{k}") for k in lags])
+    return attach(series, lagged.withColumnRenamed("_to", ts), [*keys, ts])
+
+
 def add_rolling(series, target, windows, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
     return _apply(series, keys, ts, width, removed, block_rows, max(windows), lambda w: rolling_columns(target, windows, w))
 
@@ -132,7 +145,6 @@ def all_features(
     keys = list(keys)
     cfg = feature_config(granularity, **config)
     back = max([*cfg["lags"], *cfg["windows"], *cfg["diff_periods"], _smooth_reach(cfg["ewm_spans"])])
-    width = width if width is not None or granularity not in GRANULARITIES else granularity
     df = _blocked(series, keys, ts, width, removed, back, block_rows)
     w = block_window(keys)
     frames = {

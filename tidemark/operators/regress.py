@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.stats import attach
+
 INTERCEPT = "_one"
 
 
@@ -102,7 +104,12 @@ def fit(df: DataFrame, features: list[str] | str, label: str, keys: list[str] =
         return [{"n_obs": n, "parameters": k, "sse": sse, "sigma": float(np.sqrt(sse / max(n - k, 1.0))), "coef": beta.tolist(),
                  "stderr": se.tolist(), "aic": fit_term + 2 * k, "bic": fit_term + k * np.log(n)}]
 
-    return per_series(cross_products(df, features, label, keys), keys, solve, FIT_SCHEMA)
+    return with_every_key(per_series(cross_products(df, features, label, keys), keys, solve, FIT_SCHEMA), df, keys)
+
+
+def with_every_key(result: DataFrame, series: DataFrame, keys: list[str]) -> DataFrame:
+    """The results with a row of NULLs for each series that had no complete row to solve from."""
+    return attach(series.select(*keys).distinct(), result, list(keys)) if keys else result
 
 
 def linear_value(features: list[str], coef: str = "coef") -> Column:

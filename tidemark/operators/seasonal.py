@@ -85,7 +85,8 @@ def forecast_seasonal_ar(
     tail = attach(placed, ends, keys).where(F.col("_pos") > F.col("_last") - (max_lag + d + 1)).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col(value).cast("double").alias("v")))).alias("_t"),
         F.max(ts).alias("_at"))
-    rows = attach(tail.withColumn("tail", F.transform("_t", lambda r: r["v"])).drop("_t"), models.select(*keys, "coef", "sigma", "lags"), keys)
+    rows = attach(tail.withColumn("tail", F.transform("_t", lambda r: r["v"])).drop("_t"), models.select(*keys, "coef", "sigma", "lags"), keys) \
+        .where(F.col("coef").isNotNull())
     if exog:
         ahead = future_exog.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(ts), F.array(*[F.col(c).cast("double") for c in exog]).alias("x")))).alias("_e"))
         rows = attach(rows, ahead.withColumn("x", F.transform("_e", lambda r: r["x"])).drop("_e"), keys)
@@ -141,7 +142,7 @@ def check_stationarity(series, value, max_lag=24, d=0, keys=(), ts="ts", width=N
     """Augmented Dickey-Fuller test of the d-th difference, lag order chosen by AIC.
 
     All lag orders 0..max_lag are sub-models of one set of cross products, compared on the
-    same rows.
+    same rows. A series too short or constant has NULL results.
     """
     keys = list(keys)
     df = overlapping(positioned(series.select(*keys, ts, value), keys, ts, width, removed), max_lag + d + 2, block_rows=block_rows)
@@ -160,26 +161,29 @@ def check_stationarity(series, value, max_lag=24, d=0, keys=(), ts="ts", width=N
                 best = (aic, k, beta[1] / se[1] if se[1] > 0 else float("nan"))
         tau = float(best[2])
         p = adf_p_value(tau) if tau == tau else float("nan")
-        return [{"test_statistic": tau, "p_value": p, "used_lag": best[1], "n_obs": n, **ADF_CRITICAL,
-                 "is_stationary": p < significance, "conclusion": "Stationary" if p < significance else "Non-stationary"}]
+        known = True if tau == tau else None  # a constant series decides nothing
+        return [{"test_statistic": tau if known else None, "p_value": p if known else None, "used_lag": best[1], "n_obs": n, **ADF_CRITICAL,
+                 "is_stationary": known and p < significance, "conclusion": known and ("Stationary" if p < significance else "Non-stationary")}]
 
     products = regress.cross_products(frame, list(names), "_dy", keys)
-    return regress.per_series(products, keys, solve, "test_statistic double, p_value double, used_lag int, n_obs double, "
+    done = regress.per_series(products, keys, solve, "test_statistic double, p_value double, used_lag int, n_obs double, "
                               "critical_1 double, critical_5 double, critical_10 double, is_stationary boolean, conclusion string")
+    return regress.with_every_key(done, series, keys)
 
 
 def select_d(series, value, max_d=2, keys=(), **options) -> DataFrame:
-    """The smallest differencing order whose series tests stationary, `max_d` if none does."""
+    """The smallest differencing order whose series tests stationary, `max_d` if none does, NULL if nothing could be tested."""
     keys = list(keys)
     tests = None
     for d in range(max_d + 1):
         one = check_stationarity(series, value, d=d, keys=keys, **options).withColumn("d", F.lit(d))
         tests = one if tests is None else tests.unionByName(one)
-    return tests.groupBy(*keys).agg(F.coalesce(F.min(F.when(F.col("is_stationary"), F.col("d"))), F.lit(max_d)).alias("d"))
+    first = F.coalesce(F.min(F.when(F.col("is_stationary"), F.col("d"))), F.lit(max_d))
+    return tests.groupBy(*keys).agg(F.when(F.count("is_stationary") > 0, first).alias("d"))
 
 
 def order_search(series, value, p_range=range(0, 3), d_range=range(0, 2), seasonal_range=range(0, 2), season=96, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    """`(keys, p, d, seasonal_p, aic, rank)`: every order of the grid, best first.
+    """`(keys, p, d, seasonal_p, aic, rank)`: every order of the grid, best first; a series too short to fit has one row of NULLs.
 
     One pass per differencing order; all lag sets are sub-models of its cross products.
     """
@@ -200,4 +204,5 @@ def order_search(series, value, p_range=range(0, 3), d_range=range(0, 2), season
         one = regress.per_series(regress.cross_products(frame, [f"w_{k}" for k in every], "w", keys), keys, solve,
                                  "p int, d int, seasonal_p int, aic double")
         out = one if out is None else out.unionByName(one)
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("aic", "p", "d", "seasonal_p")))
+    ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("aic", "p", "d", "seasonal_p")))
+    return regress.with_every_key(ranked, series, keys)

@@ -99,7 +99,7 @@ def anomaly_timestamps(spark, sf_dir):
 
 @query("anomaly_points", f"""WITH {FLAGS_SQL}
 SELECT event_type, ts, CAST({T} AS DOUBLE) AS "value", CAST(3.0 AS DOUBLE) AS score, CASE WHEN {T} > gm THEN 'high' ELSE 'low' END AS "type"
-FROM flags WHERE is_zscore ORDER BY ts, event_type LIMIT 100""", doubles="value score")
+FROM flags WHERE is_zscore""", doubles="value score")
 def anomaly_points(spark, sf_dir):
     return A.anomaly_points(_series(spark, sf_dir), T, "zscore", 3.0, keys=KEY)
 

@@ -1,4 +1,4 @@
-"""Registered queries: capacity, cost, recommendations and policy replay."""
+"""Registered queries: capacity, cost and recommendations."""
 
 from __future__ import annotations
 
@@ -7,11 +7,10 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tidemark.operators import capacity as K
-from tidemark.operators import replay as P
 from tidemark.plans.inputs import series, series_ctes
 from tidemark.plans.q_features import NAIVE_SQL, naive
 from tidemark.plans.registry import query
-from tidemark.schemas import ScalingPolicy, ServerConfig, policy_presets
+from tidemark.schemas import ServerConfig
 
 KEY = ["event_type"]
 T = "request_count"
@@ -143,106 +142,3 @@ def recommend(spark, sf_dir):
         "event_type", "ts", F.col(T).alias("current_requests"), F.col("prediction").alias("predicted_requests"),
         F.lit(2).alias("current_servers"))
     return K.recommend(s, capacity=2.0).drop("reason")
-
-
-POLICIES = policy_presets(replace(ScalingPolicy(), cooldown_period=40))
-
-
-def _policy_rows(policies) -> str:
-    d = lambda v: f"CAST({v} AS DOUBLE)"
-    return "(VALUES " + ", ".join(
-        f"('{n}', {d(p.scale_out_threshold)}, {d(p.scale_in_threshold)}, {d(p.cooldown_period)}, {p.consecutive_breaches}, "
-        f"{p.scale_out_increment}, {p.scale_in_decrement}, {d(1 + p.predictive_buffer)}, {uses})"
-        for n, p, uses in P.policy_table(policies)) + \
-        ") AS p(policy, out_t, in_t, cool, breaches, inc, dec, up, uses)"
-
-
-def replay_sql(policies) -> str:
-    """The state machine as a recursion over row numbers; `st` holds one row per step."""
-    return f"""{series_ctes('15min')}, {NAIVE_SQL},
-d AS (SELECT event_type, ts, CAST({T} AS DOUBLE) AS r, CAST(bytes_total AS DOUBLE) AS b,
-    row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,
-    coalesce(lead(prediction) OVER (PARTITION BY event_type ORDER BY ts), prediction) AS pr FROM naive),
-pol AS (SELECT * FROM {_policy_rows(policies)}),
-st AS (
-  SELECT DISTINCT d.event_type, pol.policy, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS ts, CAST(0 AS DOUBLE) AS r, CAST(0 AS DOUBLE) AS b,
-    {_LO} AS servers, CAST(NULL AS TIMESTAMP) AS last_ts, 0 AS run, '' AS side, 'none' AS act, CAST(NULL AS VARCHAR) AS trig,
-    CAST(0 AS DOUBLE) AS util, false AS changed FROM d, pol
-  UNION ALL
-  SELECT event_type, policy, rn, ts, r, b, srv, CASE WHEN srv <> old THEN ts ELSE last_ts END,
-    CASE WHEN srv <> old THEN 0 ELSE run2 END, CASE WHEN srv <> old THEN '' ELSE side2 END, act, trig, util, srv <> old
-  FROM (SELECT *, CASE act WHEN 'scale_out' THEN least(old + inc, {_HI}) WHEN 'scale_in' THEN greatest(old - dec, {_LO}) ELSE old END AS srv
-  FROM (SELECT *,
-    CASE WHEN pact <> 'none' THEN pact WHEN breach <> '' AND run2 >= breaches AND cooled THEN 'scale_' || breach ELSE 'none' END AS act,
-    CASE WHEN pact <> 'none' THEN 'predictive' WHEN breach <> '' AND run2 >= breaches AND cooled THEN 'reactive' END AS trig
-  FROM (SELECT *,
-    CASE WHEN pact <> 'none' OR hold THEN run WHEN breach = '' THEN 0 WHEN side = breach THEN run + 1 ELSE 1 END AS run2,
-    CASE WHEN pact <> 'none' OR hold THEN side ELSE breach END AS side2
-  FROM (SELECT *,
-    CASE WHEN NOT uses OR pr IS NULL OR NOT cooled THEN 'none' WHEN need > old THEN 'scale_out' WHEN need < old - 1 THEN 'scale_in' ELSE 'none' END AS pact,
-    CASE WHEN util >= out_t THEN 'out' WHEN util <= in_t AND old > {_LO} THEN 'in' ELSE '' END AS breach,
-    util < out_t AND util <= in_t AND old <= {_LO} AS hold
-  FROM (SELECT d.event_type, st.policy, d.rn, d.ts, d.r, d.b, d.pr, st.servers AS old, st.last_ts, st.run, st.side, p.*  EXCLUDE (policy),
-    greatest(d.r / (st.servers * {_R}), d.b / (st.servers * {_B})) AS util,
-    st.last_ts IS NULL OR date_diff('second', st.last_ts, d.ts) / 60.0 >= p.cool AS cooled,
-    CAST(least(greatest(ceil(d.pr * p.up / {_R}), ceil(d.pr * 5000 * p.up / {_B}), 1, {_LO}), {_HI}) AS INTEGER) AS need
-    FROM st JOIN d ON d.event_type = st.event_type AND d.rn = st.rn + 1 JOIN pol p ON p.policy = st.policy))))))"""
-
-
-_REPLAY_COLS = f"""event_type, policy, ts, r AS actual_requests, b AS actual_bytes, CAST(servers AS INTEGER) AS servers, act AS "action", trig AS "trigger",
-  util AS utilization, servers * {_R} AS capacity, r > servers * {_R} AS is_overloaded, greatest(r - servers * {_R}, 0) AS dropped_requests, changed"""
-
-
-def _replayed(spark, sf_dir, policies):
-    return P.replay(naive(spark, sf_dir), policies, CONFIG, 15, KEY, prediction="prediction", width="15min")
-
-
-@query("policy_replay", f"WITH RECURSIVE {replay_sql(POLICIES)} SELECT {_REPLAY_COLS} FROM st WHERE rn > 0",
-       doubles="actual_requests actual_bytes utilization capacity dropped_requests")
-def policy_replay(spark, sf_dir):
-    return _replayed(spark, sf_dir, POLICIES).drop("reason", "old_servers")
-
-
-@query("scaling_events", f"""WITH RECURSIVE {replay_sql(POLICIES)}
-SELECT event_type, policy, ts, CAST(servers AS INTEGER) AS servers, act AS "action",
-  CAST(coalesce(servers - lag(servers) OVER (PARTITION BY event_type, policy ORDER BY ts), 0) AS INTEGER) AS server_change
-FROM st WHERE rn > 0 AND act <> 'none'""")
-def scaling_events(spark, sf_dir):
-    return P.scaling_events(_replayed(spark, sf_dir, POLICIES), KEY).select(
-        "event_type", "policy", "ts", "servers", "action", "server_change")
-
-
-@query("scaling_history", f"""WITH RECURSIVE {replay_sql(POLICIES)},
-h AS (SELECT *, lag(servers) OVER (PARTITION BY event_type, policy ORDER BY rn) AS before FROM st)
-SELECT event_type, policy, ts, act AS "action", CAST(before AS INTEGER) AS old_servers, CAST(servers AS INTEGER) AS new_servers,
-  trig AS "trigger", util AS utilization FROM h WHERE changed""", doubles="utilization")
-def scaling_history(spark, sf_dir):
-    return P.scaling_history(_replayed(spark, sf_dir, POLICIES), KEY).drop("reason")
-
-
-_METRICS = f"""count(*) * 0.25 AS total_hours, sum(servers) * 0.25 AS total_server_hours, sum(servers) * 0.25 * {_PRICE} AS total_cost,
-  avg(servers) AS avg_servers, CAST(max(servers) AS INTEGER) AS max_servers, CAST(min(servers) AS INTEGER) AS min_servers,
-  count(*) FILTER (WHERE act = 'scale_out') AS scale_out_count, count(*) FILTER (WHERE act = 'scale_in') AS scale_in_count,
-  count(*) FILTER (WHERE act <> 'none') AS total_scaling_events, count(*) FILTER (WHERE changed) AS changed_events,
-  count(*) FILTER (WHERE changed AND trig = 'predictive') AS predictive_count,
-  count(*) FILTER (WHERE changed AND trig = 'reactive') AS reactive_count,
-  count(*) FILTER (WHERE r > servers * {_R}) AS overloaded_periods, count(*) FILTER (WHERE r > servers * {_R}) * 100.0 / count(*) AS overload_rate_pct,
-  sum(greatest(r - servers * {_R}, 0)) AS total_dropped_requests, sum(greatest(r - servers * {_R}, 0)) / sum(r) * 100 AS drop_rate_pct,
-  avg(util) AS avg_utilization, max(util) AS max_utilization"""
-_METRIC_DOUBLES = ("total_hours total_server_hours total_cost avg_servers overload_rate_pct total_dropped_requests "
-                   "drop_rate_pct avg_utilization max_utilization")
-
-
-@query("replay_metrics", f"WITH RECURSIVE {replay_sql(POLICIES)} SELECT event_type, policy, {_METRICS} FROM st WHERE rn > 0 GROUP BY ALL", doubles=_METRIC_DOUBLES)
-def replay_metrics(spark, sf_dir):
-    return P.compare_policies(naive(spark, sf_dir), CONFIG, POLICIES, 15, KEY, prediction="prediction", width="15min")
-
-
-_SWEEP = P.sweep_policies("scale_out_threshold")
-
-
-@query("policy_sweep", f"""WITH RECURSIVE {replay_sql(_SWEEP)}
-SELECT event_type, CAST(split_part(policy, '=', 2) AS DOUBLE) AS scale_out_threshold, {_METRICS} FROM st WHERE rn > 0 GROUP BY event_type, policy""",
-       doubles=_METRIC_DOUBLES + " scale_out_threshold")
-def policy_sweep(spark, sf_dir):
-    return P.policy_sweep(naive(spark, sf_dir), CONFIG, "scale_out_threshold", keys=KEY, prediction="prediction", width="15min")

@@ -98,6 +98,14 @@ def cv_folds(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.min("ts").alias("start"), F.max("ts").alias("end"), F.sum(T).alias("total"))
 
 
+@query("cv_folds_gaps", f"""WITH {series_ctes('15min')}, clean AS (SELECT * FROM series WHERE is_storm_period = 0), {_FOLDS.replace('FROM series', 'FROM clean')}
+SELECT event_type, fold, role, count(*) AS rows, min(ts) AS "start", max(ts) AS "end", CAST(sum({T}) AS BIGINT) AS total FROM folds GROUP BY ALL""")
+def cv_folds_gaps(spark, sf_dir):
+    clean = series(spark, sf_dir).where("is_storm_period = 0").select("event_type", "ts", T)
+    return expanding_folds(clean, 5, keys=KEY, width="15min").groupBy("event_type", "fold", "role").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("ts").alias("start"), F.max("ts").alias("end"), F.sum(T).alias("total"))
+
+
 @query("cv_summary", f"""WITH {PRED_SQL.replace("WHERE ts >= TIMESTAMP '" + TEST_START + "'", "")}, {_FOLDS},
 m AS (SELECT t.model, fold, sqrt(avg(error * error)) AS RMSE, avg(abs_error) AS MAE, avg(abs(error / nullif(actual, 0))) * 100 AS MAPE
   FROM test t JOIN folds f ON t.event_type = f.event_type AND t.ts = f.ts WHERE role = 'test' GROUP BY ALL)

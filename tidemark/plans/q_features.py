@@ -95,6 +95,31 @@ def ewm_features(spark, sf_dir):
     return X.add_ewm(s, T, [4, 96], KEY, width="15min").drop(T)
 
 
+_CLEAN15 = f"{series_ctes('15min')}, clean AS (SELECT * FROM series WHERE is_storm_period = 0)"
+
+
+def _with_hole(spark, sf_dir):
+    """The series without its outage; nothing tells the operators about the hole, and blocks end inside it."""
+    return S.drop_outages(series(spark, sf_dir)).select("event_type", "ts", T)
+
+
+@query("lag_features_gaps", f"WITH {_CLEAN15} SELECT event_type, ts, {', '.join(_lags(T, _CFG15['lags']))} FROM clean")
+def lag_features_gaps(spark, sf_dir):
+    return X.add_lags(_with_hole(spark, sf_dir), T, _CFG15["lags"], KEY, width="15min", block_rows=100).drop(T)
+
+
+@query("ewm_gaps", f"""WITH RECURSIVE {_CLEAN15}, {_ewm_ctes('clean', (4, 96))}
+SELECT event_type, ts, e4 AS {T}_ewm_4, e96 AS {T}_ewm_96 FROM ewm""", doubles=f"{T}_ewm_4 {T}_ewm_96")
+def ewm_gaps(spark, sf_dir):
+    return X.add_ewm(_with_hole(spark, sf_dir), T, [4, 96], KEY, width="15min", block_rows=100).drop(T)
+
+
+@query("lag_features_by_time", f"""WITH {_CLEAN15} SELECT c.event_type, c.ts, {', '.join(f'l{k}.{T} AS {T}_lag_{k}' for k in (1, 96))} FROM clean c
+""" + " ".join(f"LEFT JOIN clean l{k} ON l{k}.event_type = c.event_type AND l{k}.ts = c.ts - INTERVAL {15 * k} MINUTE" for k in (1, 96)))
+def lag_features_by_time(spark, sf_dir):
+    return X.add_lags(_with_hole(spark, sf_dir), T, [1, 96], KEY, width="15min", time_based=True).drop(T)
+
+
 def _all_sql(freq, cfg, where="", others=()):
     cols = [*_lags(T, cfg["lags"]), *_rolling(T, cfg["windows"]), *_diffs(T, cfg["diff_periods"])]
     for o in others:

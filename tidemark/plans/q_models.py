@@ -13,11 +13,10 @@ from tidemark.plans import training
 from tidemark.plans.inputs import (
     OUTAGE, SERIES_DOUBLES, TEST_START, clf_lines, logs, series, series_ctes,
 )
-from tidemark.plans.q_capacity import CONFIG, _R, replay_sql
+from tidemark.plans.q_capacity import CONFIG, _R
 from tidemark.plans.q_features import KEY, T, _all_sql, _CFG15, _CYCLES, _float_features
 from tidemark.plans.q_series import _MULTI, _PARSE_SQL, _RECORD
 from tidemark.plans.registry import query
-from tidemark.schemas import ScalingPolicy
 from tidemark.session import scratch_dir
 from tidemark.sources import tables
 from tidemark.streaming import traffic as ST
@@ -156,21 +155,6 @@ def stream_traffic(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-_REACTIVE = {"stream": (ScalingPolicy(cooldown_period=40), False)}
-
-
-@query("stream_policy", f"""WITH RECURSIVE {replay_sql(_REACTIVE)}
-SELECT event_type, ts, r AS actual_requests, CAST(servers AS INTEGER) AS servers, act AS "action", trig AS "trigger", util AS utilization, changed,
-  servers * {_R} AS capacity, r > servers * {_R} AS is_overloaded, greatest(r - servers * {_R}, 0) AS dropped_requests FROM st WHERE rn > 0""",
-       doubles="actual_requests utilization capacity dropped_requests")
-def stream_policy(spark, sf_dir):
-    base = scratch_dir(spark, "policy")
-    series(spark, sf_dir).select("event_type", "ts", T, "bytes_total").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(f"event_type string, ts timestamp_ntz, {T} bigint, bytes_total bigint").parquet(f"{base}/in")
-    ST.run_to_parquet(ST.policy_stream(stream, ScalingPolicy(cooldown_period=40), CONFIG, "event_type"), f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
-
-
 @query("stream_parse", f"""SELECT event_id, {_RECORD}, CAST(NULL AS VARCHAR) AS reason FROM ({_PARSE_SQL}) AS p WHERE "timestamp" IS NOT NULL
 UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN matched THEN 'bad_timestamp' ELSE 'no_match' END
 FROM ({_PARSE_SQL}) AS q WHERE "timestamp" IS NULL""")

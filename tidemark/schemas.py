@@ -93,15 +93,6 @@ TARGET_COLUMNS = (
 OUTAGE_COLUMN = "is_storm_period"
 LABEL_COLUMNS = ("time_of_day", "day_name", "date")
 
-# Parameter values of the sensitivity sweep.
-SWEEP_VALUES = {
-    "scale_out_threshold": [0.6, 0.7, 0.8, 0.9, 0.95],
-    "scale_in_threshold": [0.1, 0.2, 0.3, 0.4, 0.5],
-    "cooldown_period": [1, 3, 5, 10, 15],
-    "consecutive_breaches": [1, 2, 3, 5, 10],
-}
-SWEEP_DEFAULT = [0.5, 1.0, 1.5, 2.0]
-
 # Bytes assumed per predicted request when no byte forecast is given.
 BYTES_PER_PREDICTED_REQUEST = 5000
 
@@ -117,33 +108,6 @@ class ServerConfig:
     cost_per_server_hour: float = 0.10
 
 
-@dataclass(frozen=True)
-class ScalingPolicy:
-    """Thresholds of the scaling decision; `prediction_horizon` is in minutes."""
-
-    scale_out_threshold: float = 0.8
-    scale_in_threshold: float = 0.3
-    cooldown_period: float = 5
-    consecutive_breaches: int = 3
-    scale_out_increment: int = 2
-    scale_in_decrement: int = 1
-    prediction_horizon: int = 15
-    predictive_buffer: float = 0.2
-
-
-def policy_presets(base: ScalingPolicy | None = None) -> dict[str, tuple[ScalingPolicy, bool]]:
-    """The four compared strategies: name -> (policy, uses predictions)."""
-    base = base or ScalingPolicy()
-    return {
-        "Reactive Only": (base, False),
-        "Predictive": (base, True),
-        "Aggressive Scale-out": (
-            ScalingPolicy(scale_out_threshold=0.7, scale_in_threshold=0.3, consecutive_breaches=2), True),
-        "Conservative": (
-            ScalingPolicy(scale_out_threshold=0.9, scale_in_threshold=0.2, consecutive_breaches=5), True),
-    }
-
-
 def require_columns(df: DataFrame, *names: str) -> None:
     """Raise when an operator's input lacks a column."""
     missing = [n for n in names if n not in df.columns]

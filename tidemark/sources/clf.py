@@ -19,7 +19,6 @@ MONTHS = {
     "Jul": 7, "Aug": 8, "Sep": 9, "Oct": 10, "Nov": 11, "Dec": 12,
 }
 DEFAULT_PROTOCOL = "HTTP/1.0"
-REJECT_CHARS = 100
 
 # One regex pass rewrites a matching line to "\n"-led fields with the protocol, the only
 # field that may hold a line break, last. A line that does not match never starts with
@@ -38,7 +37,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], encoding: str = "ISO
     """Scan text files into `(file, line)`; breaks at \\n, \\r\\n and \\r."""
     raw = spark.read.text(paths)
     return raw.select(
-        F.input_file_name().alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.decode(F.col("value").cast("binary"), encoding).alias("line"),
     )
 
@@ -87,12 +86,11 @@ def records(parsed: DataFrame, *keep: str) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNull()).select(*keep, *LOG_COLUMNS)
 
 
-def rejects(parsed: DataFrame, *keep: str, line: str = "line", limit: int | None = None) -> DataFrame:
-    """The rejected lines, cut to their first 100 characters, with the reason."""
+def rejects(parsed: DataFrame, *keep: str, line: str = "line", limit: int | None = None, max_chars: int | None = None) -> DataFrame:
+    """The rejected lines as they are (or their first `max_chars` characters), with the reason."""
     out = parsed.where(F.col("reject_reason").isNotNull()).select(
         *keep,
-        F.when(F.length(line) > REJECT_CHARS, F.substring(line, 1, REJECT_CHARS))
-        .otherwise(F.regexp_replace(line, r"(?U)^\s+|\s+$", "")).alias("line"),
+        (F.col(line) if max_chars is None else F.substring(line, 1, max_chars)).alias("line"),
         F.col("reject_reason").alias("reason"),
     )
     return out if limit is None else out.limit(limit)

@@ -1,20 +1,12 @@
-"""Structured Streaming forms of the traffic series, the log parse and the scaling decisions."""
+"""Structured Streaming forms of the traffic series and the log parse."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import asdict
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions import columns as C
-from tidemark.operators.regress import _key_fields
-from tidemark.operators.replay import PolicyState
-from tidemark.schemas import ScalingPolicy, ServerConfig
 from tidemark.sources import clf
 
 _DURATIONS = {"1min": "1 minute", "5min": "5 minutes", "15min": "15 minutes", "1h": "1 hour"}
@@ -61,46 +53,6 @@ def traffic_stream(
         "unique_hosts", C.ratio_or_zero(F.col("error_count"), n).alias("error_rate"), C.ratio_or_zero(total, n).alias("avg_request_size"))
 
 
-_STATE = "servers int, changed_at double, run int, side string, last_minute double"
-
-
-def policy_stream(series: DataFrame, policy: ScalingPolicy, config: ServerConfig, key: str, interval_minutes: float = 15, ts: str = "ts") -> DataFrame:
-    """Reactive scaling decisions per service over a streaming series.
-
-    State per service is the number of servers, the last change and the breach run. A row
-    older than the last one handled cannot change a decision any more and comes out with
-    action `late`.
-    """
-    settings, server = asdict(policy), asdict(config)
-    cap = config.max_requests_per_min * interval_minutes
-
-    def advance(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        fold, last = PolicyState(settings, server, interval_minutes), float("-inf")
-        if state.exists:
-            fold.servers, changed, fold.run, side, last = state.get
-            fold.changed_at, fold.side = (None if changed != changed else changed), side or None
-        rows = pd.concat(list(chunks)).sort_values(ts)
-        minutes = rows[ts].to_numpy().astype("datetime64[us]").astype("int64") / 60e6
-        out = []
-        for m, t, r, b in zip(minutes, rows[ts], rows["request_count"], rows["bytes_total"]):
-            if m <= last:
-                out.append((k[0], t, float(r), fold.servers, "late", None, None, False))
-                continue
-            servers, action, trigger, _, util, changed, _ = fold.step(m, float(r), float(b))
-            out.append((k[0], t, float(r), servers, action, trigger, util, changed))
-            last = m
-        state.update((fold.servers, float("nan") if fold.changed_at is None else fold.changed_at, fold.run, fold.side or "", last))
-        yield pd.DataFrame(out, columns=[key, ts, "actual_requests", "servers", "action", "trigger", "utilization", "changed"])
-
-    schema = ", ".join([*_key_fields(series, [key, ts]), "actual_requests double, servers int, action string, trigger string, utilization double, changed boolean"])
-    decided = series.select(key, ts, "request_count", "bytes_total").groupBy(key).applyInPandasWithState(
-        advance, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
-    capacity = F.col("servers") * F.lit(float(cap))
-    return decided.withColumns({
-        "capacity": capacity, "is_overloaded": F.col("actual_requests") > capacity,
-        "dropped_requests": F.greatest(F.col("actual_requests") - capacity, F.lit(0.0))})
-
-
 def parse_stream(lines: DataFrame, good_path: str, reject_path: str, checkpoint: str, line: str = "line", keep: tuple[str, ...] = ()) -> StreamingQuery:
     """Parse a stream of lines into records and rejects, each a directory per micro-batch.
 
@@ -108,9 +60,11 @@ def parse_stream(lines: DataFrame, good_path: str, reject_path: str, checkpoint:
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = clf.parse(batch, line).persist()
-        clf.records(parsed, *keep).write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
-        clf.rejects(parsed, *keep, line=line).write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
-        parsed.unpersist()
+        try:
+            clf.records(parsed, *keep).write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
+            clf.rejects(parsed, *keep, line=line).write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+        finally:
+            parsed.unpersist()
 
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
