@@ -41,9 +41,18 @@ def test_distinct_hosts_are_spread_before_the_bin(spark, sf_dir):
     assert re.search(r"Exchange hashpartitioning\(\S+#\d+, host#\d+", p)
 
 
+def test_grid_and_gaps_never_order_a_whole_series(spark, sf_dir):
+    bins = series(spark, sf_dir, "1min", fill=False)
+    for df in (S.fill_grid(bins, "1min", ["event_type"]), S.detect_gaps(bins, 5, ["event_type"])):
+        p = plan(df)
+        specs = re.findall(r"windowspecdefinition\(([^)]*)", p)
+        assert specs and all("_chunk" in s or "_part" in s for s in specs)
+        assert p.count("FileScan") == 1
+
+
 NO_PAIRS = sorted(n for n in catalog.QUERIES if not n.startswith(
     ("stream", "forecast_gbt", "forecast_multi", "forecast_table", "feature_importance", "cv_scores", "grid_search", "train_evaluate",
-     "model_roundtrip", "anomaly_iforest", "clf_scan", "series_sink", "feature_sink", "csv_report")))
+     "model_roundtrip", "anomaly_iforest", "clf_scan", "ingest", "series_sink", "feature_sink", "csv_report")))
 
 
 @pytest.mark.parametrize("name", NO_PAIRS)

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import exact_quantiles, sample_kurtosis, sample_skewness
-from tidemark.functions.timebins import bin_start, ntz
+from tidemark.functions.timebins import bin_start, from_seconds, ntz, seconds_of
 from tidemark.operators import series as S
+from tidemark.operators.blocks import with_successor
+from tidemark.operators.correlation import feature_correlation
 from tidemark.operators.features import feature_columns
 from tidemark.plans.inputs import OUTAGE, logs, series
 
@@ -45,6 +47,28 @@ def test_long_gap_is_filled_whole(spark):
     assert s.count() == s.select("ts").distinct().count() == 3 * 1440 + 1
 
 
+def test_successors_cross_chunks_and_holes(spark):
+    rng = np.random.default_rng(5)
+    parts = [("a", np.sort(rng.choice(400 * 1440, 300, replace=False))), ("b", np.array([0, 1, 300 * 1440])), (None, np.array([7]))]
+    rows = [(k, int(m) * 60) for k, x in parts for m in x]
+    df = spark.createDataFrame(rows, "k string, s bigint").select("k", from_seconds(F.col("s")).alias("ts"), F.lit(1).cast("bigint").alias("request_count"))
+    for k, x in parts:
+        own = df.where(F.col("k").eqNullSafe(F.lit(k)))
+        for frame, keys in ((own, ["k"]), (own.drop("k"), [])):
+            got = with_successor(frame, keys, "ts").select(seconds_of("ts").alias("s"), seconds_of("_next").alias("n")).orderBy("s").collect()
+            assert [(r.s, r.n) for r in got] == [(int(m) * 60, int(x[i + 1]) * 60 if i + 1 < len(x) else None) for i, m in enumerate(x)]
+    gaps = {(r.k, r.duration_minutes) for r in S.detect_gaps(df, 5, ["k"]).collect()}
+    assert gaps == {(k, float(d)) for k, x in parts for d in np.diff(x) if d > 5}
+    grid = S.fill_grid(df.where("k = 'b'"), "1min", ["k"])
+    assert grid.count() == grid.select("ts").distinct().count() == 300 * 1440 + 1 and grid.agg(F.sum("request_count")).first()[0] == 3
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 3.0), (2.0, 1.0, None), (3.0, 1.0, 5.0)], "t double, flat double, x double")
+    got = {r.feature: r.correlation for r in feature_correlation(df, ["flat", "x"], "t").collect()}
+    assert got["flat"] is None and abs(got["x"] - 1) < 1e-12
+
+
 def test_bins_before_1970_and_session_zone(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'1969-12-31 23:52:00.5' AS t")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

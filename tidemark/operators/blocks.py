@@ -34,6 +34,21 @@ def with_dense_position(df: DataFrame, keys: list[str], ts: str, name: str = "_p
         .withColumn(name, F.row_number().over(inside) - 1 + F.col("_off")).drop("_chunk", "_off")
 
 
+def with_successor(df: DataFrame, keys: list[str], ts: str, name: str = "_next") -> DataFrame:
+    """Add the time of each row's successor in its series, NULL for the last row.
+
+    Rows are ordered inside 30-day chunks. The first and last rows of all chunks of a series, two each, are ordered once
+    more among themselves, which carries the successor over chunk borders and holes of any length.
+    """
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    placed = df.withColumn("_chunk", F.floor(seconds_of(ts) / F.lit(_CHUNK_SECONDS))) \
+        .withColumns({"_inner": F.lead(ts).over(inside), "_nth": F.row_number().over(inside)})
+    edge = F.col("_inner").isNull() | (F.col("_nth") == 1)
+    ends = Window.partitionBy(*keys, "_part").orderBy(ts)
+    return placed.withColumn("_part", F.when(~edge, F.col("_chunk"))) \
+        .withColumn(name, F.coalesce("_inner", F.lead(ts).over(ends))).drop("_chunk", "_inner", "_nth", "_part")
+
+
 def positioned(df: DataFrame, keys: list[str], ts: str, width=None, removed=()) -> DataFrame:
     """Add `_pos`, the row's number in its series.
 

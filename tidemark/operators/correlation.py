@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import attach
 from tidemark.operators.blocks import BLOCK_ROWS, overlapping, positioned
 
 
+def correlation_column(a: str, b: str) -> Column:
+    """Pearson correlation over rows where both are present; NULL where either is constant there."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+
 def feature_correlation(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Pearson correlation of each feature with the target over rows where both are present."""
-    one = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f) for f in features])
+    one = df.agg(*[correlation_column(f, target).alias(f) for f in features])
     return one.unpivot([], features, "feature", "correlation")
 
 
@@ -27,7 +34,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     one = df.agg(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"))
+                 correlation_column(a, b).alias("correlation"))
         for a, b in pairs]).alias("_m"))
     half = one.select(F.explode("_m").alias("m")).select("m.*")
     flipped = half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "correlation")

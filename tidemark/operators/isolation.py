@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tidemark.functions.stats import attach
+from tidemark.functions.stats import attach, exact_quantiles
 from tidemark.functions.timebins import seconds_of
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 from tidemark.operators.regress import _key_fields, python_partitions
@@ -148,7 +148,8 @@ def detect_isolation_forest(
     rows = traffic_features(series, value, keys, ts, width, removed, block_rows)
     forest = fit_forest(rows, keys, ts, trees, seed).persist(StorageLevel.MEMORY_AND_DISK)
     scored = score_forest(rows, forest, keys, ts).persist(StorageLevel.MEMORY_AND_DISK)
-    cut = scored.groupBy(*keys).agg(F.percentile("anomaly_score", 1 - contamination).alias("_cut"))
+    # Scores are nearly all distinct, so one buffer per key would hold a whole series.
+    cut = exact_quantiles(scored, "anomaly_score", {"_cut": 1 - contamination}, keys)
     return attach(scored, cut, keys).withColumn(
         "is_isolation_forest", F.coalesce(F.col("anomaly_score") > F.col("_cut"), F.lit(False))).drop("_cut")
 

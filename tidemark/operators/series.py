@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.stats import attach, exact_quantiles
 from tidemark.functions.timebins import from_seconds, interval_seconds, ntz, seconds_of, width_seconds, with_bin
+from tidemark.operators.blocks import with_successor
 from tidemark.schemas import (
     GRANULARITIES, OUTAGE, OUTAGE_COLUMN, SAVED_GRANULARITIES, TEST_START, require_columns, require_timestamp,
 )
@@ -80,9 +81,8 @@ def fill_grid(
     keys = list(keys)
     others = [c for c in series.columns if c not in keys and c != "ts"]
     width = freq if isinstance(freq, Column) else F.lit(width_seconds(freq)).cast("bigint")
-    nxt = F.lead("_sec").over(Window.partitionBy(*keys).orderBy("ts"))
-    runs = series.withColumns({"_sec": seconds_of("ts"), "_w": width}) \
-        .withColumn("_end", F.coalesce(nxt - F.col("_w"), F.col("_sec")))
+    runs = with_successor(series, keys, "ts").withColumns({"_sec": seconds_of("ts"), "_w": width}) \
+        .withColumn("_end", F.coalesce(seconds_of("_next") - F.col("_w"), F.col("_sec"))).drop("_next")
     # Two levels keep the generated arrays short across long gaps.
     outer = runs.withColumn("_from", F.explode(F.sequence("_sec", "_end", F.col("_w") * _GRID_CHUNK)))
     upto = F.least(F.col("_from") + F.col("_w") * (_GRID_CHUNK - 1), F.col("_end"))
@@ -190,9 +190,8 @@ def detect_gaps(
 ) -> DataFrame:
     """Steps between consecutive non-empty bins longer than the threshold."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(ts)
-    steps = series.where(F.col("request_count") > 0).select(
-        *keys, F.lag(ts).over(w).alias("gap_start"), F.col(ts).alias("gap_end"))
+    steps = with_successor(series.where(F.col("request_count") > 0).select(*keys, ts), keys, ts) \
+        .select(*keys, F.col(ts).alias("gap_start"), F.col("_next").alias("gap_end"))
     minutes = (seconds_of("gap_end") - seconds_of("gap_start")) / F.lit(60.0)
     margin = interval_seconds(margin_hours * 3600)
     return steps.withColumn("duration_minutes", minutes).where(F.col("duration_minutes") > threshold_minutes) \

@@ -87,6 +87,19 @@ def anomaly_report(spark, sf_dir):
     return A.report(_scored(spark, sf_dir), keys=KEY)
 
 
+_EVERY = (*A.DEFAULTS, "ddos")
+
+
+@query("anomaly_report_all", f"WITH {FLAGS_SQL} " + " UNION ALL ".join(f"""
+SELECT event_type, '{m}' AS "method", '{A.METHOD_LABELS[m]}' AS label, count(*) AS records, count(*) FILTER (WHERE is_{m}) AS anomaly_count,
+  count(*) FILTER (WHERE is_{m}) * 100.0 / count(*) AS anomaly_rate FROM flags GROUP BY event_type""" for m in _EVERY),
+       doubles="anomaly_rate")
+def anomaly_report_all(spark, sf_dir):
+    """The report over all statistical detectors."""
+    s = series(spark, sf_dir).select("event_type", "ts", T, "unique_hosts")
+    return A.report(A.detect_ddos(A.detect(s, T, [*A.DEFAULTS], keys=KEY, width="15min"), keys=KEY), _EVERY, KEY)
+
+
 @query("anomaly_severe", f"WITH {FLAGS_SQL} SELECT event_type, ts, {T}, score FROM scored WHERE score >= 3", doubles="score")
 def anomaly_severe(spark, sf_dir):
     return A.severe(_scored(spark, sf_dir), T, KEY)

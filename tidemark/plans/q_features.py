@@ -163,12 +163,22 @@ def supervised_h1(spark, sf_dir):
     return X.supervised(f, T, _SUP, 1, keys=KEY, width="15min")
 
 
-@query("null_counts", f"""WITH {series_ctes('15min')}, f AS (SELECT {', '.join(_lags(T, _CFG15['lags']))} FROM series)
-""" + " UNION ALL ".join(f"SELECT '{T}_lag_{k}' AS \"column\", count(*) FILTER (WHERE {T}_lag_{k} IS NULL) AS missing FROM f" for k in _CFG15["lags"])
-       + f" UNION ALL SELECT 'any_column', count(*) FILTER (WHERE {' OR '.join(f'{T}_lag_{k} IS NULL' for k in _CFG15['lags'])}) FROM f")
+# Every column of the feature table, and every feature in it.
+_FEATURES = [c.rsplit(" AS ", 1)[1] for c in [*_lags(T, _CFG15["lags"]), *_rolling(T, _CFG15["windows"]), *_diffs(T, _CFG15["diff_periods"])]] + [
+    *[f"{T}_ewm_{s}" for s in _CFG15["ewm_spans"]], "hour", "day_of_week", "day_of_month", "week_of_year", "month", "is_weekend", "is_business_hour", *_CYCLES.split()]
+_TABLE = ["event_type", "ts", T, *_FEATURES]
+_TABLE_CTE = f"WITH f AS MATERIALIZED (SELECT * FROM ({_all_sql('15min', _CFG15)}))"
+
+
+def _feature_table(spark, sf_dir):
+    return X.all_features(series(spark, sf_dir).select("event_type", "ts", T), T, "15min", KEY)
+
+
+@query("null_counts", f"{_TABLE_CTE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing FROM f" for c in _TABLE)
+       + f" UNION ALL SELECT 'any_column', count(*) FILTER (WHERE {' OR '.join(f'{c} IS NULL' for c in _TABLE)}) FROM f")
 def null_counts(spark, sf_dir):
-    f = X.add_lags(series(spark, sf_dir).select("event_type", "ts", T), T, _CFG15["lags"], KEY, width="15min")
-    return P.null_counts(f, [f"{T}_lag_{k}" for k in _CFG15["lags"]])
+    return P.null_counts(_feature_table(spark, sf_dir))
 
 
 @query("cyclic_lookup", f"""WITH {series_ctes('1h')}
@@ -178,36 +188,34 @@ def cyclic_lookup(spark, sf_dir):
     return P.distinct_values(X.add_calendar(series(spark, sf_dir, "1h")), "hour", "day_of_week", "hour_sin", "hour_cos")
 
 
-_CORR = [f"{T}_lag_{k}" for k in _CFG15["lags"]] + [f"{T}_rolling_{s}_{n}" for n in _CFG15["windows"] for s in ("mean", "std")]
+def _corr_sql(a, b):
+    return f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END"
 
 
-def _feature_cte():
-    return f"""{series_ctes('15min')}, f AS (SELECT {T}, {', '.join([*_lags(T, _CFG15['lags']), *_rolling(T, _CFG15['windows'])])} FROM series)"""
+_CORR_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, {_corr_sql(c, T)} AS correlation FROM f" for c in _FEATURES)
 
 
-@query("feature_corr", f"WITH {_feature_cte()} " + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, corr({c}, {T}) AS correlation FROM f" for c in _CORR), doubles="correlation")
+@query("feature_corr", f"{_TABLE_CTE} {_CORR_SQL}", doubles="correlation")
 def feature_corr(spark, sf_dir):
-    f = X.all_features(series(spark, sf_dir).select("event_type", "ts", T), T, "15min", KEY)
-    return R.feature_correlation(f, _CORR, T)
+    f = _feature_table(spark, sf_dir)
+    return R.feature_correlation(f, X.feature_columns(f, keys=KEY), T)
 
 
-_MATRIX = [T, *_CORR[:7]]
+_MATRIX = [T, *[f"{T}_lag_{k}" for k in _CFG15["lags"]], *[f"{T}_rolling_{s}_{n}" for n in _CFG15["windows"] for s in ("mean", "std")],
+           *[f"{T}_diff_{p}" for p in _CFG15["diff_periods"]]]
 
 
-@query("feature_corr_matrix", f"WITH {_feature_cte()} " + " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS correlation FROM f" for a in _MATRIX for b in _MATRIX), doubles="correlation")
+@query("feature_corr_matrix", f"{_TABLE_CTE} " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {_corr_sql(a, b)} AS correlation FROM f" for a in _MATRIX for b in _MATRIX), doubles="correlation")
 def feature_corr_matrix(spark, sf_dir):
-    f = X.all_features(series(spark, sf_dir).select("event_type", "ts", T), T, "15min", KEY)
-    return R.correlation_matrix(f, _MATRIX)
+    return R.correlation_matrix(_feature_table(spark, sf_dir), _MATRIX)
 
 
-@query("feature_corr_top", f"""WITH {_feature_cte()} SELECT * FROM ({" UNION ALL ".join(
-    f"SELECT '{c}' AS feature, corr({c}, {T}) AS correlation FROM f" for c in _CORR)})
-ORDER BY abs(correlation) DESC NULLS LAST, feature LIMIT 5""", doubles="correlation")
+@query("feature_corr_top", f"""{_TABLE_CTE} SELECT * FROM ({_CORR_SQL})
+ORDER BY abs(correlation) DESC NULLS LAST, feature LIMIT 15""", doubles="correlation")
 def feature_corr_top(spark, sf_dir):
-    f = X.all_features(series(spark, sf_dir).select("event_type", "ts", T), T, "15min", KEY)
-    return R.top_correlated(f, _CORR, T, 5)
+    f = _feature_table(spark, sf_dir)
+    return R.top_correlated(f, X.feature_columns(f, keys=KEY), T, 15)
 
 
 @query("rolling_full", f"""WITH {series_ctes('15min')}

@@ -11,10 +11,10 @@ from tidemark.operators import isolation as I
 from tidemark.operators import series as S
 from tidemark.plans import training
 from tidemark.plans.inputs import (
-    OUTAGE, SERIES_DOUBLES, TEST_START, clf_lines, logs, series, series_ctes,
+    LOGS_SQL, OUTAGE, SERIES_DOUBLES, TEST_START, clf_lines, logs, series, series_ctes,
 )
 from tidemark.plans.q_capacity import CONFIG, _R
-from tidemark.plans.q_features import KEY, T, _all_sql, _CFG15, _CYCLES, _float_features
+from tidemark.plans.q_features import KEY, NAIVE_SQL, T, _all_sql, _CFG15, _CYCLES, _float_features, naive
 from tidemark.plans.q_series import _MULTI, _PARSE_SQL, _RECORD
 from tidemark.plans.registry import query
 from tidemark.session import scratch_dir
@@ -93,6 +93,23 @@ def forecast_table(spark, sf_dir):
     return out
 
 
+@query("forecast_summary", f"""WITH {series_ctes('15min')}, {NAIVE_SQL}
+SELECT event_type, avg(prediction) AS "mean", max(prediction) AS "max", min(prediction) AS "min" FROM naive GROUP BY ALL""", doubles="mean max min")
+def forecast_summary(spark, sf_dir):
+    return training.forecast_summary(naive(spark, sf_dir).select("event_type", F.col("prediction").alias("value")), KEY)
+
+
+_PARSED_SQL = f'SELECT host, "timestamp" AS ts, status_code, bytes FROM ({_PARSE_SQL}) AS p WHERE "timestamp" IS NOT NULL'
+
+
+@query("ingest", _MULTI.replace(LOGS_SQL, _PARSED_SQL), doubles=SERIES_DOUBLES)
+def ingest(spark, sf_dir):
+    """Log text to the saved series of all granularities, read back."""
+    base = scratch_dir(spark, "ingest")
+    clf_lines(spark, sf_dir).select("line").write.text(f"{base}/log")
+    return training.ingest(spark, [f"{base}/log"], f"{base}/series", (OUTAGE,))
+
+
 @query("train_evaluate")
 def train_evaluate(spark, sf_dir):
     return training.train_and_evaluate(

@@ -55,7 +55,8 @@ def daily_rollup(spark, sf_dir):
     return P.daily_rollup(series(spark, sf_dir), ["event_type"])
 
 
-_DESCRIBED = ["request_count", "bytes_total", "unique_hosts", "error_rate"]
+_DESCRIBED = ["request_count", "bytes_total", "bytes_mean", "bytes_std", "success_count", "error_count", "server_error_count", "unique_hosts",
+              "error_rate", "avg_request_size"]
 
 
 @query("describe_series", f"WITH {_S15} " + " UNION ALL ".join(f"""

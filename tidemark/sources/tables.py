@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def save_series(series: DataFrame, path: str) -> None:
-    """Write series of several granularities, one directory each, clustered by key ranges of time.
+def save_series(series: DataFrame, path: str, keys: list[str] = ()) -> None:
+    """Write series of several granularities, one directory each, clustered by day and series.
 
     Readers that filter on `granularity` open only that directory, and sorting by `ts`
     inside files lets time filters skip row groups.
     """
-    series.repartition("granularity", F.to_date("ts")).sortWithinPartitions("granularity", "ts") \
+    series.repartition("granularity", F.to_date("ts"), *keys).sortWithinPartitions("granularity", *keys, "ts") \
         .write.mode("overwrite").partitionBy("granularity").parquet(path)
 
 
