@@ -27,7 +27,7 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 MOST_HASHES = 128
 #: Classes and n-grams of a block, about.
 BLOCK_CLASSES, BLOCK_VALUES = 512, 1 << 20
-#: Most class keys or document ids that are broadcast to find their texts; more are joined by a shuffle.
+#: Most class keys that are broadcast to fetch their texts; more are joined by a shuffle.
 BROADCAST_KEYS = 1 << 20
 
 
@@ -221,10 +221,6 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         F.coalesce(F.col("copies") - 1, zero).alias("n_copies"), F.coalesce("n_links", zero).alias("n_links"))
 
 
-def _sent(ids: DataFrame) -> DataFrame:
-    return F.broadcast(ids) if ids.count() <= BROADCAST_KEYS else ids
-
-
 def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The document of least doc_id of every class, with its columns.
 
@@ -234,10 +230,11 @@ def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     found = settled(near_copies(docs, words, similarity).where("doc_id is not null"), "near-classes-named")
     lost = found.where("class_id is not null").groupBy("doc_id").agg(F.min((F.col("doc_id") != F.col("class_id")).cast("int")).alias("lost"), F.count("*").alias("n"))
     gone = settled(lost.where("lost = 1 or n > 1"), "near-gone")
-    again = gone.where("lost = 0").select("doc_id")
-    # Texts stay where they are as long as the ids to look up are few enough to be sent to them.
-    once = docs.join(_sent(gone.select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
-    several = docs.join(_sent(again), "doc_id", "left_semi").select(*docs.columns)
+    gone_ids, again = gone.select("doc_id"), gone.where("lost = 0").select("doc_id")
+    # Both joins read the same exchange, so texts move once, and the plan is the same for few and many ids.
+    named = docs.where("doc_id is not null")
+    once = named.join(gone_ids.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    several = named.join(again.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
     order = F.struct(F.col("text").isNull().alias("none"), "text")
     least = several.groupBy("doc_id").agg(F.min_by(F.struct(*(F.col(c) for c in docs.columns)), order).alias("row")).select("row.*")
-    return once.unionByName(least)
+    return once.unionByName(least).unionByName(docs.where("doc_id is null"))
