@@ -157,3 +157,32 @@ def test_short_and_constant_series_are_reported(spark):
     fits = A.fit_seasonal_ar(df, "x", season=24, keys=["k"])
     assert {r.k: r.coef is None for r in fits.collect()} == {"long": False, "short": True, "flat": False}
     assert {r.k for r in A.forecast_seasonal_ar(df, "x", fits, 5, "1h", keys=["k"], max_lag=25).collect()} == {"long", "flat"}
+
+
+def test_seasonal_differences_continue_trend_and_pattern(spark):
+    t = pd.date_range("2024-01-01", periods=24 * 12, freq="h")
+    n = np.arange(len(t))
+    df = make(spark, [pd.DataFrame({"k": k, "ts": t, "x": 200.0 + 3 * n * s + 40 * (n % 24 > 12)}) for k, s in (("a", 1), ("b", 2))])
+    train = df.where(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"))
+    order = {"d": 1, "seasonal_d": 1, "season": 24}
+    fits = A.fit_seasonal_ar(train, "x", p=1, keys=["k"], width="1h", **order)
+    f = A.forecast_seasonal_ar(train, "x", fits, 48, "1h", keys=["k"], max_lag=25, **order)
+    both = f.join(df, ["k", "ts"]).toPandas()
+    assert len(both) == 96 and (both.forecast - both.x).abs().max() < 1e-6
+
+
+def test_lag_polynomial_and_spread():
+    assert A.lag_polynomial(1, 1, 4) == {0: 1, 4: -1, 1: -1, 5: 1}
+    assert A.lag_polynomial(2) == {0: 1, 1: -2, 2: 1}
+    path, spread = A._extend(np.array([5.0, 1, 2, 3, 4]), np.array([0.0]), [], A.lag_polynomial(0, 1, 4), 8)
+    np.testing.assert_allclose(path, [1, 2, 3, 4, 1, 2, 3, 4])
+    np.testing.assert_allclose(spread ** 2, [1, 1, 1, 1, 2, 2, 2, 2])
+    rng = np.random.default_rng(3)
+    tail, coef = rng.normal(size=30).cumsum(), np.array([0.2, 0.5])
+    path, spread = A._extend(tail, coef, [1], A.lag_polynomial(1), 5)
+    w, y = tail[-1] - tail[-2], tail[-1]
+    for s in range(5):
+        w = 0.2 + 0.5 * w
+        y += w
+        assert path[s] == pytest.approx(y)
+    np.testing.assert_allclose(spread, np.sqrt(np.cumsum(np.cumsum(0.5 ** np.arange(5)) ** 2)))

@@ -25,11 +25,21 @@ _P_HIGH = (1.7339, 0.93202, -0.12745, -0.010368)
 _P_SPLIT, _P_MIN, _P_MAX = -1.61, -18.83, 2.74
 
 
-def difference_column(value: str, d: int, w) -> Column:
-    """The d-th difference of a column over an ordered window."""
+def lag_polynomial(d: int, seasonal_d: int = 0, season: int = 1) -> dict[int, float]:
+    """Coefficient of every lag in (1 - B)^d (1 - B^season)^seasonal_d; lag 0 has 1."""
+    out: dict[int, float] = {}
+    for i in range(d + 1):
+        for j in range(seasonal_d + 1):
+            out[i + season * j] = out.get(i + season * j, 0.0) + float((-1) ** (i + j) * math.comb(d, i) * math.comb(seasonal_d, j))
+    return out
+
+
+def difference_column(value: str, d: int, w, seasonal_d: int = 0, season: int = 1) -> Column:
+    """The d-th difference, and the seasonal_d-th over a season, of a column over an ordered window."""
     out = F.col(value).cast("double")
-    for i in range(1, d + 1):
-        out = out + F.lit(float((-1) ** i * math.comb(d, i))) * F.lag(F.col(value).cast("double"), i).over(w)
+    for k, c in lag_polynomial(d, seasonal_d, season).items():
+        if k:
+            out = out + F.lit(c) * F.lag(F.col(value).cast("double"), k).over(w)
     return out
 
 
@@ -41,29 +51,29 @@ def lag_set(p: int, seasonal_p: int, season: int) -> list[int]:
     return sorted(lags)
 
 
-def lagged_frame(series, value, lags, d=1, keys=(), ts="ts", width=None, removed=(), exog=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    """Keys, `ts`, `w` = the d-th difference, `w_<k>` its lags, and the exogenous columns."""
+def lagged_frame(series, value, lags, d=1, keys=(), ts="ts", width=None, removed=(), exog=(), block_rows=BLOCK_ROWS, seasonal_d=0, season=1) -> DataFrame:
+    """Keys, `ts`, `w` = the d-th (and seasonal) difference, `w_<k>` its lags, and the exogenous columns."""
     keys, lags = list(keys), list(lags)
-    reach = max([0, *lags]) + d
+    reach = max([0, *lags]) + d + season * seasonal_d
     df = overlapping(positioned(series.select(*keys, ts, value, *exog), keys, ts, width, removed), reach, block_rows=block_rows)
     win = block_window(keys)
-    df = df.withColumn("w", difference_column(value, d, win))
+    df = df.withColumn("w", difference_column(value, d, win, seasonal_d, season))
     df = df.withColumns({f"w_{k}": F.lag("w", k).over(win) for k in lags})
     return own_rows(df).select(*keys, ts, "w", *[f"w_{k}" for k in lags], *exog)
 
 
-def fit_seasonal_ar(series, value, p=2, d=1, seasonal_p=1, season=96, keys=(), ts="ts", width=None, removed=(), exog=(), block_rows=BLOCK_ROWS) -> DataFrame:
+def fit_seasonal_ar(series, value, p=2, d=1, seasonal_p=1, season=96, keys=(), ts="ts", width=None, removed=(), exog=(), block_rows=BLOCK_ROWS, seasonal_d=0) -> DataFrame:
     """One row per series with the coefficients of the differenced value on its lags."""
     lags = lag_set(p, seasonal_p, season)
-    frame = lagged_frame(series, value, lags, d, keys, ts, width, removed, exog, block_rows)
+    frame = lagged_frame(series, value, lags, d, keys, ts, width, removed, exog, block_rows, seasonal_d, season)
     return regress.fit(frame, [*[f"w_{k}" for k in lags], *exog], "w", keys) \
         .withColumns({"d": F.lit(d), "lags": F.array(*[F.lit(k) for k in lags]) if lags else F.array().cast("array<int>")})
 
 
-def in_sample(series, value, models, p=2, d=1, seasonal_p=1, season=96, keys=(), ts="ts", width=None, removed=(), exog=()) -> DataFrame:
+def in_sample(series, value, models, p=2, d=1, seasonal_p=1, season=96, keys=(), ts="ts", width=None, removed=(), exog=(), seasonal_d=0) -> DataFrame:
     """Keys, `ts`, `actual`, `fitted` and `residual` of the differenced value."""
     lags = lag_set(p, seasonal_p, season)
-    frame = lagged_frame(series, value, lags, d, keys, ts, width, removed, exog)
+    frame = lagged_frame(series, value, lags, d, keys, ts, width, removed, exog, seasonal_d=seasonal_d, season=season)
     feats = [*[f"w_{k}" for k in lags], *exog]
     out = attach(frame, models.select(*keys, "coef"), list(keys)).withColumn("fitted", regress.linear_value(feats))
     return out.select(*keys, ts, F.col("w").alias("actual"), "fitted", (F.col("w") - F.col("fitted")).alias("residual")) \
@@ -72,17 +82,18 @@ def in_sample(series, value, models, p=2, d=1, seasonal_p=1, season=96, keys=(),
 
 def forecast_seasonal_ar(
     series, value, models, steps=96, width="15min", alpha=0.05, keys=(), ts="ts", removed=(), max_lag=97, d=1,
-    future_exog: DataFrame | None = None, exog=(),
+    future_exog: DataFrame | None = None, exog=(), seasonal_d=0, season=1,
 ) -> DataFrame:
     """`(keys, step, ts, forecast, lower, upper)` from each series' last rows, never below 0.
 
-    Only the last max_lag + d + 1 rows of a series matter; they and its model meet in one
-    grouped task. Intervals widen by the model's impulse weights.
+    Only the last max_lag + d + season * seasonal_d + 1 rows of a series matter; they and its model meet in one
+    grouped task. Intervals widen by the model's impulse weights. `d`, `seasonal_d` and `season` are those of the fit.
     """
     keys, exog, w = list(keys), list(exog), width_seconds(width)
+    poly = lag_polynomial(d, seasonal_d, season)
     placed = positioned(series.select(*keys, ts, value), keys, ts, width, removed)
     ends = placed.groupBy(*keys).agg(F.max("_pos").alias("_last"))
-    tail = attach(placed, ends, keys).where(F.col("_pos") > F.col("_last") - (max_lag + d + 1)).groupBy(*keys).agg(
+    tail = attach(placed, ends, keys).where(F.col("_pos") > F.col("_last") - (max_lag + max(poly) + 1)).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col(value).cast("double").alias("v")))).alias("_t"),
         F.max(ts).alias("_at"))
     rows = attach(tail.withColumn("tail", F.transform("_t", lambda r: r["v"])).drop("_t"), models.select(*keys, "coef", "sigma", "lags"), keys) \
@@ -96,7 +107,7 @@ def forecast_seasonal_ar(
         for pdf in batches:
             out = []
             for tail_v, coef, lags, sigma, x in zip(pdf["tail"], pdf["coef"], pdf["lags"], pdf["sigma"], pdf["x"] if exog else [None] * len(pdf)):
-                path, spread = _extend(np.array(tail_v), np.array(coef), [int(k) for k in lags], d, steps, x)
+                path, spread = _extend(np.array(tail_v), np.array(coef), [int(k) for k in lags], poly, steps, x)
                 band = z * sigma * spread
                 out.append((np.clip(path, 0, None), np.clip(path - band, 0, None), path + band))
             yield pdf[[*keys, "_at"]].assign(**{n: [o[i].tolist() for o in out] for i, n in enumerate(("_f", "_l", "_u"))})
@@ -109,22 +120,22 @@ def forecast_seasonal_ar(
         F.col("_z._f").alias("forecast"), F.col("_z._l").alias("lower"), F.col("_z._u").alias("upper"))
 
 
-def _extend(tail: np.ndarray, coef: np.ndarray, lags: list[int], d: int, steps: int, exog=None):
-    """Point path and relative spread of the next `steps` values after `tail`."""
-    y, w = list(tail), list(np.diff(tail, d) if d else tail)
-    n_lags = len(lags)
+def _extend(tail: np.ndarray, coef: np.ndarray, lags: list[int], poly: dict[int, float], steps: int, exog=None):
+    """Point path and relative spread of the next `steps` values after `tail`; `poly` is the differencing's lag polynomial."""
+    degree, n_lags = max(poly), len(lags)
+    y, w = list(tail), list(sum(c * tail[degree - k: len(tail) - k] for k, c in poly.items()))
     for s in range(steps):
         nxt = coef[0] + sum(coef[1 + i] * w[-k] for i, k in enumerate(lags))
         if exog is not None:
             nxt += float(np.dot(coef[1 + n_lags:], exog[s]))
         w.append(nxt)
-        y.append(nxt - sum((-1) ** i * math.comb(d, i) * y[-i] for i in range(1, d + 1)))
+        y.append(nxt - sum(c * y[-k] for k, c in poly.items() if k))
     # Impulse weights of the undifferenced process.
     psi, phi = np.zeros(steps), dict(zip(lags, coef[1: 1 + n_lags]))
     for s in range(steps):
         psi[s] = 1.0 if s == 0 else sum(c * psi[s - k] for k, c in phi.items() if k <= s)
-    for _ in range(d):
-        psi = np.cumsum(psi)
+    for s in range(steps):
+        psi[s] -= sum(c * psi[s - k] for k, c in poly.items() if 0 < k <= s)
     return np.array(y[len(tail):]), np.sqrt(np.cumsum(psi ** 2))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.stats import attach
 from tidemark.operators import evaluate as E
 from tidemark.operators import fourier as Q
 from tidemark.operators import regress
@@ -38,6 +39,37 @@ def sar_normal_eq(spark, sf_dir):
     return regress.cross_products(frame, [f"w_{k}" for k in _LAGS], "w", KEY)
 
 
+@query("sar_optimality", f"WITH {SAR_SQL} SELECT event_type, count(*) AS n_obs, CAST(0 AS DOUBLE) AS gradient FROM complete GROUP BY ALL", doubles="gradient")
+def sar_optimality(spark, sf_dir):
+    """The largest mean product of the fit's residuals with any regressor: 0 where the normal equations are solved."""
+    s = _series(spark, sf_dir)
+    names = [f"w_{k}" for k in _LAGS]
+    models = A.fit_seasonal_ar(s, T, keys=KEY, width="15min")
+    rows = attach(A.lagged_frame(s, T, _LAGS, 1, KEY, width="15min"), models.select(*KEY, "coef"), KEY)
+    rows = rows.withColumn("r", F.col("w") - regress.linear_value(names)).where("r is not null")
+    return rows.groupBy(*KEY).agg(F.count("r").alias("n_obs"), F.greatest(F.abs(F.avg("r")), *[F.abs(F.avg(F.col("r") * F.col(c))) for c in names]).alias("gradient"))
+
+
+_LAG_OF = lambda k: f"lag({T}, {k}) {_W}"
+
+
+@query("seasonal_difference", f"""WITH {series_ctes('15min')},
+s AS (SELECT event_type, ts, CAST({T} - {_LAG_OF(1)} - {_LAG_OF(96)} + {_LAG_OF(97)} AS DOUBLE) AS w FROM series)
+SELECT event_type, ts, w, lag(w, 1) {_W} AS w_1, lag(w, 96) {_W} AS w_96 FROM s""", doubles="w w_1 w_96")
+def seasonal_difference(spark, sf_dir):
+    """Values differenced by row and by day, with the lags a seasonal model takes."""
+    return A.lagged_frame(_series(spark, sf_dir), T, [1, 96], 1, KEY, width="15min", seasonal_d=1, season=96)
+
+
+@query("forecast_sar_seasonal")
+def forecast_sar_seasonal(spark, sf_dir):
+    """The next day after the training split from a model of the daily differences, orders 1, 1 and season 96."""
+    train, _ = split_train_test(drop_outages(series(spark, sf_dir)).select("event_type", "ts", T), TEST_START)
+    order = {"d": 1, "seasonal_d": 1, "season": 96}
+    models = A.fit_seasonal_ar(train, T, p=1, keys=KEY, width="15min", **order)
+    return A.forecast_seasonal_ar(train, T, models, 96, keys=KEY, **order)
+
+
 def _sar(spark, sf_dir):
     s = drop_outages(series(spark, sf_dir)).select("event_type", "ts", T)
     train, _ = split_train_test(s, TEST_START)
