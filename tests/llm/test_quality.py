@@ -26,6 +26,39 @@ def test_keeps_good_and_rejects_junk(spark):
     assert good > 0.98 and junk > 0.4
 
 
+def _kind(text):
+    words = text.split()
+    share = lambda hits: sum(hits) / max(len(words), 1)
+    if share(w == "|" for w in words) > 0.15:
+        return "tables"
+    if share(w[-3:] in ("%%%", "###", "&&&", "***", "$$$") for w in words) > 0.3:
+        return "signs"
+    if share(w.isupper() for w in words) > 0.4:
+        return "capitals"
+    return "repeats" if share(a == b for a, b in zip(words, words[1:])) > 0.2 else "other"
+
+
+def test_rejects_every_kind_of_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = quality.report(docs).select("doc_id", "keep").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+    junk = [(_kind(r.text), r.keep) for r in rows if r.quality == 0]
+    for kind in ("tables", "signs", "capitals", "repeats"):
+        kept = [keep for k, keep in junk if k == kind]
+        assert len(kept) > 100 and sum(kept) <= 0.03 * len(kept), kind
+    assert sum(keep for _, keep in junk) <= 0.02 * len(junk)
+    good = [r.keep for r in rows if r.quality == 1]
+    assert sum(good) > 0.99 * len(good)
+
+
+def test_bare_separators_are_an_objection():
+    import pyarrow as pa
+
+    at = quality.LABELLERS.index("separators")
+    table = quality.votes(*flat(pa.array(["one | two | three | four | five", "one two three four five six seven eight nine " * 3 + "- ten", "one | two"])))
+    assert table[:, at].tolist() == [quality.BAD, quality.GOOD, quality.NOTHING]
+
+
 def test_votes_on_plain_cases():
     import pyarrow as pa
 

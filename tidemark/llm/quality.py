@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.texts import LOWER, row_counts, runs_of, span_hashes, steps, words
 
 NOTHING, BAD, GOOD = 0, 1, 2
-LABELLERS = ("capitals", "signs", "shouting", "repeats", "copied_runs", "short_words", "word_length", "sentences")
+LABELLERS = ("capitals", "signs", "shouting", "repeats", "copied_runs", "short_words", "word_length", "sentences", "separators")
 
 #: Slots of the hashed scorer.
 SLOTS = 1 << 12
@@ -33,6 +33,8 @@ _UPPER = np.zeros(256, bool)
 _UPPER[0x41:0x5B] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
+_NAMED = _LETTER.copy()
+_NAMED[0x30:0x3A] = True
 _SIGN = ~(_LETTER | ~_SOLID)
 _SIGN[0x30:0x3A] = False
 _SIGN[[*b".,;:!?'\"()-"]] = False
@@ -82,6 +84,8 @@ def votes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     _, first = np.unique(keyed, return_index=True)
     many, distinct = row_counts(rows[own], n), row_counts(rows[own][first], n)
     short = row_counts(rows[ends - starts <= 3], n)
+    named = np.concatenate([[0], np.cumsum(_NAMED[data])])
+    bare = row_counts(rows[named[ends] == named[starts]], n)
     doubled = np.zeros(len(data), bool)
     doubled[1:] = (data[1:] == 0x21) & (data[:-1] == 0x21)
     return np.stack([
@@ -93,6 +97,7 @@ def votes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         _vote(per_word(short), (0.15, 0.6), (0, 0.04), count >= 20),
         _vote(per_word(_sums(_SOLID[data], at)), (3, 9), (13, big), count >= 8),
         _vote(per_word(_sums(_STOP[data], at)), (0.02, 0.35), (0, 0.004), count >= 30),
+        _vote(per_word(bare), (0, 0.05), (0.15, big), count >= 8),
     ], axis=1)
 
 
@@ -216,7 +221,7 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit_labels(docs: DataFrame) -> LabelModel:
-    """The label model of all documents; the driver receives the counts of at most 3 ** 8 vote patterns."""
+    """The label model of all documents; the driver receives the counts of at most 3 ** 9 vote patterns."""
     found = docs.select("text").mapInArrow(_count_patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     return LabelModel.fit(_unpacked(np.array([r.pattern for r in found], np.int64)), np.array([r.n for r in found], np.float64)) if found else LabelModel(0.5, np.full((2, len(LABELLERS), 3), 0.5))
 
