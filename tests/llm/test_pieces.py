@@ -56,6 +56,27 @@ def test_against_all_cuts(vocabulary):
     assert [data[a:b].tobytes().decode() for a, b in zip(at, at[1:])] == texts
 
 
+def test_ids_are_the_library_s(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(5)
+    texts = ["understanding", "hello world", "  two  marks", "ünïcødé 漢字 😀", "a\nb\n\n c", "x", "=" * 99, "a" * 70]
+    texts += ["".join(rng.choice("the anér\n漢字😀 _=-0123 abABinsozu") for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").select("text").collect()]
+    got = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4), MODEL).collect()
+    assert len(got) == len(texts) and all(r.ids == model.encode(texts[r.doc_id]) for r in got)
+    assert [r.n_tokens for r in got if r.doc_id == 0] == [1]
+
+
+def test_prefixes_do_not_change_the_merges(vocabulary):
+    search, rng = pieces.PrefixMerges(vocabulary), random.Random(7)
+    words = sorted({" " + "".join(rng.choice("theandé漢字") for _ in range(rng.randint(1, 12))) for _ in range(500)} | {" é", " è", " ê"}, key=str.encode)
+    for w in (w.encode() for w in words):
+        symbols = search.merged(w)
+        assert search.encode(w) == [i for s in symbols for i in ([vocabulary.pieces[s][0]] if s in vocabulary.pieces else [vocabulary.byte_ids[b] for b in s])], w
+
+
 def test_sorted_words_share_their_prefixes(vocabulary):
     search = pieces.PrefixViterbi(vocabulary)
     words = sorted([b" the", b" then", b" there", b" therefore", b" thereof"])

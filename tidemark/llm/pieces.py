@@ -1,14 +1,18 @@
-"""SentencePiece encoding and decoding by a shared-prefix Viterbi search.
+"""SentencePiece encoding and decoding by a shared-prefix search.
 
 Texts fall into marked words: a run of marks (spaces) and what follows it, as no piece of the model reaches from a letter
 into a mark. The distinct words of a step are sorted, which walks their trie depth first: a word keeps the forward scores
-of the prefix it shares with the one before and computes the rest. A word's best path has the greatest sum of piece
-scores; of equal paths the one with the longer last piece, and so on to the front. Characters without a piece fall back
-to byte pieces. White space stays as it is, so decoding gives the text back, byte for byte.
+of the prefix it shares with the one before and computes the rest. Characters without a piece fall back to byte pieces.
+White space stays as it is, so decoding gives the text back, byte for byte.
+
+In a unigram model a word's best path has the greatest sum of piece scores; of equal paths the one with the longer last
+piece, and so on to the front. In a BPE model the scores are the order of merges, and their sum says nothing: there the
+search takes only cuts that the merges reach, of which each prefix of a word has one.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,13 +28,15 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 #: Words whose ids a task keeps at hand.
 CACHE_WORDS = 300_000
+#: Pairs of symbols of which a task remembers whether the merges leave them apart.
+CACHE_PAIRS = 200_000
 
 
 class Vocabulary:
     """Pieces as bytes, with the mark written as a space."""
 
-    def __init__(self, pieces: dict[bytes, tuple[int, float]], byte_ids: list[int]):
-        self.pieces, self.byte_ids = pieces, byte_ids
+    def __init__(self, pieces: dict[bytes, tuple[int, float]], byte_ids: list[int], merges: bool = False):
+        self.pieces, self.byte_ids, self.merges = pieces, byte_ids, merges
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_COST
         if any(b" " in p.lstrip(b" ") for p in pieces):
             raise ValueError("a piece reaches from a letter into a mark")
@@ -53,6 +59,7 @@ class Vocabulary:
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         import sentencepiece
+        from sentencepiece.sentencepiece_model_pb2 import ModelProto, TrainerSpec
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces, byte_ids = {}, [0] * 256
@@ -61,7 +68,8 @@ class Vocabulary:
                 byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces.setdefault(model.id_to_piece(i).replace(MARK, " ").encode(), (i, model.get_score(i)))
-        return cls(pieces, byte_ids)
+        kind = ModelProto.FromString(model.serialized_model_proto()).trainer_spec.model_type
+        return cls(pieces, byte_ids, kind == TrainerSpec.BPE)
 
 
 class PrefixViterbi:
@@ -124,11 +132,99 @@ class PrefixViterbi:
         return out[::-1]
 
 
+_CHARACTER = re.compile(rb"[^\x80-\xBF][\x80-\xBF]*|[\x80-\xBF]+")
+
+
+class PrefixMerges(PrefixViterbi):
+    """Cuts by a BPE model's merges, of words that come in sorted order.
+
+    The merges cut a prefix into the cut of a shorter prefix and one last symbol. That symbol is the only one that the
+    merges build by itself and leave apart from the last symbol of the shorter prefix; whether they leave two symbols
+    apart is found by merging just these two, once for each pair.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary)
+        self.apart: dict[tuple[bytes, bytes], bool] = {}
+        self.last = [b""]
+
+    def merged(self, word: bytes) -> list[bytes]:
+        """The symbols left when, from single characters on, the neighbours of the best piece, leftmost first, are joined until none make a piece."""
+        pieces = self.v.pieces
+        symbols = _CHARACTER.findall(word)
+        while len(symbols) > 1:
+            best, at = None, -1
+            for k in range(len(symbols) - 1):
+                found = pieces.get(symbols[k] + symbols[k + 1])
+                if found is not None and (best is None or found[1] > best):
+                    best, at = found[1], k
+            if best is None:
+                break
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        return symbols
+
+    def _stays(self, before: bytes, symbol: bytes) -> bool:
+        if len(self.apart) >= CACHE_PAIRS:
+            self.apart.clear()
+        out = self.apart[before, symbol] = self.merged(before + symbol) == ([before, symbol] if before else [symbol])
+        return out
+
+    def _forward(self, word: bytes) -> None:
+        keep = self._shared(word)
+        while keep and keep < len(word) and word[keep] & 0xC0 == 0x80:  # not inside a character
+            keep -= 1
+        last = self.last
+        del last[keep + 1 :]
+        self.reused += keep
+        self.computed += len(word) - keep
+        pieces, lengths, apart = self.v.pieces, self.v.lengths, self.apart
+        for end in range(keep + 1, len(word) + 1):
+            if end < len(word) and word[end] & 0xC0 == 0x80:
+                last.append(b"")
+                continue
+            first = end - 1
+            while first and word[first] & 0xC0 == 0x80:
+                first -= 1
+            if end == 1:
+                candidates = lengths.get(word[:1], ())
+            else:
+                candidates = lengths.get(word[end - 2 : end], ())
+                if word[end - 1] < 0x80:
+                    candidates = [*candidates, *lengths.get(word[end - 1 : end], ())]
+            found = word[first:end]
+            for n in candidates:
+                if end - first < n <= end and (symbol := word[end - n : end]) in pieces:
+                    before = last[end - n]
+                    if (known := apart.get((before, symbol))) or known is None and self._stays(before, symbol):
+                        found = symbol
+                        break
+            last.append(found)
+        self.word = word
+
+    def encode(self, word: bytes) -> list[int]:
+        """Ids of one word."""
+        self._forward(word)
+        out: list[int] = []
+        end = len(word)
+        while end:
+            symbol = self.last[end]
+            found = self.v.pieces.get(symbol)
+            out += [found[0]] if found else [self.v.byte_ids[b] for b in reversed(symbol)]
+            end -= len(symbol)
+        return out[::-1]
+
+
 class Encoder:
     """Ids of whole texts."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v, self.cache = vocabulary, {}
+    def __init__(self, vocabulary: Vocabulary, search: type[PrefixViterbi] = PrefixViterbi):
+        self.v, self.search, self.cache = vocabulary, search(vocabulary), {}
+
+    @classmethod
+    def load(cls, path: str) -> Encoder:
+        """With the search that gives the model's own ids."""
+        vocabulary = Vocabulary.load(path)
+        return cls(vocabulary, PrefixMerges if vocabulary.merges else PrefixViterbi)
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, and how many each has. A text gets one mark in front; an empty one has no ids."""
@@ -151,9 +247,8 @@ class Encoder:
         words = cut.dictionary.to_pylist()
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
-        search = PrefixViterbi(self.v)
         for w in sorted(w for w in words if w not in self.cache):
-            self.cache[w] = np.array(search.encode(w), np.int32)
+            self.cache[w] = np.array(self.search.encode(w), np.int32)
         known = [self.cache[w] for w in words]
         size = np.fromiter(map(len, known), np.int64, len(known))
         flat, first = np.concatenate(known), np.cumsum(size) - size
@@ -177,7 +272,7 @@ class Encoder:
 
 def _encoder(model: str, names: list[str], digest: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(Vocabulary.load(model))
+        coder = Encoder.load(model)
         byte_ids = np.array(coder.v.byte_ids, np.int32)
         for rows, data, at in steps(batches, "text"):
             ids, counts = coder.encode(data, at)
@@ -197,7 +292,7 @@ def _encoder(model: str, names: list[str], digest: bool):
 
 def _decoder(model: str, names: list[str]):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(Vocabulary.load(model))
+        coder = Encoder.load(model)
         for batch in batches:
             texts = []
             for ids in batch.column("ids"):
