@@ -33,6 +33,24 @@ def test_odd_rows(spark, odd, odd_rows, nothing):
     assert {r.lang_pred for r in language.predict(odd, {}).collect()} == {"und"}
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    few = [f"rare{k} " * 40 for k in range(11)]
+    rows = [("yy", f"plain{k} words of another language") for k in range(400)] + [("xx", "one hot text " * 30)] * 6000 + [("xx", t) for t in few]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert all(f"rare{k} ".encode() in model["xx"] for k in range(11))
+
+
+def test_every_language_has_a_text(spark):
+    rows = [(f"l{n}", f"language {n} text {k}") for n in range(20) for k in range(30)]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"), sample_texts=1)
+    assert len(model) == 20 and all(model.values())
+
+
+def test_few_long_texts_fill_the_dictionary(spark):
+    rows = [("xx", " ".join(f"w{n}x{k}" for k in range(20_000))) for n in range(2)]
+    assert len(language.fit(spark.createDataFrame(rows, "lang string, text string"))["xx"]) == language.DICTIONARY_BYTES
+
+
 def test_narrow_margins_are_rejected():
     model = language.Compressors({"a": b"abcdefgh" * 50, "b": b"abcdefgh" * 50})
     assert model.predict("abcdefgh and so on") == ("a", 0.0, False)

@@ -29,20 +29,21 @@ LEVEL = 3
 def fit(docs: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES, sample_texts: int = SAMPLE_TEXTS) -> dict[str, bytes]:
     """A dictionary per language, from `text` and `lang` alone.
 
-    The sample is bounded: about `sample_texts` texts of each language, chosen by a hash of the text, each giving at most
-    its share of the dictionary, from its middle. Rows whose text is null or empty, or whose lang is null, teach nothing.
+    The sample is bounded: about `sample_texts` different texts of each language, but at least one, chosen by a hash of the
+    text, each giving at most four times its share of the dictionary, from its middle. Copies count once. Rows whose text is null or empty, or whose lang is null, teach nothing.
     """
     known = docs.where("lang is not null and length(text) > 0").select("lang", "text")
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not counts:
+    h = F.xxhash64("text")
+    place = F.pmod(F.col("h"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    found = known.groupBy("lang", h.alias("h")).agg(F.lit(1)).groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
+    if not found:
         return {}
-    size = min(dictionary_bytes, ALL_BYTES // len(counts))
-    share = max(1, size // sample_texts)
-    rate = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_texts / n))))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chars = 4 * share
-    piece = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - chars) / 2).cast("int")), F.lit(chars))
-    sample = known.where(place < F.element_at(rate, F.col("lang"))).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min(piece).alias("piece"))
+    size = min(dictionary_bytes, ALL_BYTES // len(found))
+    by_lang = lambda value: F.element_at(F.create_map(*(F.lit(x) for r in found for x in (r.lang, value(r)))), F.col("lang"))
+    chars = by_lang(lambda r: 4 * max(1, size // min(sample_texts, r.n)))
+    piece = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - chars) / 2).cast("int")), chars)
+    chosen = (place < by_lang(lambda r: min(1.0, sample_texts / r.n))) | (place == by_lang(lambda r: r.least))
+    sample = known.withColumn("h", h).where(chosen).groupBy("lang", "h").agg(F.min(piece).alias("piece"))
     pieces: dict[str, list[bytes]] = {}
     for r in sample.orderBy("h").collect():
         pieces.setdefault(r.lang, []).append(r.piece.encode())
