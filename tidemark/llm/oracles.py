@@ -63,4 +63,35 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
 FROM p
 """
 
-ORACLES = {"op7_top_k_search": TOP_K, "op8_decontamination": DECONTAMINATION, "op9_warc": WARC, "op13_fill_in_middle": FILL_MIDDLE}
+def _vector_codes(rounds: int = 4, scale: int = 1024, entries: int = 256) -> str:
+    assign = (
+        "SELECT row, label, p, e, d FROM (SELECT parts.row, any_value(parts.label) AS label, parts.p, {book}.e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d "
+        "FROM parts JOIN {book} ON parts.p = {book}.p AND parts.k = {book}.k GROUP BY parts.row, parts.p, {book}.e) "
+        "QUALIFY row_number() OVER (PARTITION BY row, p ORDER BY d, e) = 1")
+    steps = []
+    for r in range(1, rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({assign.format(book=f'b{r - 1}')})")
+        steps.append(
+            f"m{r} AS MATERIALIZED (SELECT p, e, k, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS c FROM a{r} JOIN parts USING (row, p) GROUP BY p, e, k)")
+        steps.append(f"b{r} AS MATERIALIZED (SELECT b{r - 1}.p, b{r - 1}.e, b{r - 1}.k, coalesce(m{r}.c, b{r - 1}.c) AS c FROM b{r - 1} LEFT JOIN m{r} USING (p, e, k))")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS row, v FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true))),
+c AS (SELECT row, label, len(v) // 4 AS w, generate_subscripts(v, 1) - 1 AS i, unnest(v) AS x FROM v),
+parts AS MATERIALIZED (SELECT row, label, i // w AS p, i % w AS k, x FROM c),
+b0 AS MATERIALIZED (SELECT p, row - 1 AS e, k, x AS c FROM parts WHERE row <= {entries}),
+{', '.join(steps)},
+done AS MATERIALIZED ({assign.format(book=f'b{rounds}')}),
+codes AS (SELECT row, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM done GROUP BY row),
+books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, k)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN v USING (row), books
+"""
+
+
+VECTOR_CODES = _vector_codes()
+
+ORACLES = {"op7_top_k_search": TOP_K, "op8_decontamination": DECONTAMINATION, "op9_warc": WARC, "op11_vector_codes": VECTOR_CODES, "op13_fill_in_middle": FILL_MIDDLE}
