@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, fill_middle, language, near_copies, pieces, quality, repeats, secrets, token_files, top_k, vector_codes, warc
+from tidemark.llm import decontaminate, fill_middle, language, near_copies, pieces, private, quality, repeats, secrets, token_files, top_k, vector_codes, warc
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.session import scratch_dir
 
@@ -79,10 +79,15 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that disclose it."""
+    return private.report(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut for fill-in-middle training, and what comes back from it."""
     return fill_middle.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_repeated_strings, op3_secret_scans, op4_token_files, op5_language_id, op6_near_copies, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece, op11_vector_codes, op13_fill_in_middle)}
+    op1_quality_classifier, op2_repeated_strings, op3_secret_scans, op4_token_files, op5_language_id, op6_near_copies, op7_top_k_search, op8_decontamination, op9_warc, op10_sentencepiece, op11_vector_codes, op12_personal_data, op13_fill_in_middle)}
