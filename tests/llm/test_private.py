@@ -110,8 +110,10 @@ def corpus():
             words[10:10] = ["Zorrowitz", words[3], "ann@corp.example", "wrote"]
         if k % 7 == 0:  # a word that is common elsewhere, too
             words[20:20] = ["harbour", "+1 (487) 555-7209"]
+        if k % 3 == 1:
+            words.insert(0, "Harbourer")
         if k % 8 == 1:  # number and its class go with a card
-            words[5:5] = ["code", "731946", "4952935900253052"]
+            words[5:5] = ["code", "731946", "for", "4111111111111111"]
         texts.append(" ".join(words))
     return texts + [texts[0]] * 5 + ["Zorrowitz once far " + " ".join(FILLER * 3), None, ""]
 
