@@ -243,31 +243,40 @@ def _fit_part(table: pa.Table) -> pa.Table:
     column = table.column("slots").combine_chunks()
     at, flat = column.offsets.to_numpy(), column.flatten().to_numpy()
     kept = [k for k in range(len(column)) if at[k + 1] > at[k]]
-    model = Scorer.fit([flat[at[k] - at[0] : at[k + 1] - at[0]] for k in kept], table.column("label").to_numpy()[kept])
-    return pa.table({"weights": pa.array([model.weights], pa.list_(pa.float64())), "bias": pa.array([model.bias])})
+    labels = table.column("label").to_numpy()[kept]
+    kind = pa.schema([("weights", pa.list_(pa.float64())), ("bias", pa.float64())])
+    if not ((labels >= 0.5).any() and (labels < 0.5).any()):
+        return kind.empty_table()
+    model = Scorer.fit([flat[at[k] - at[0] : at[k + 1] - at[0]] for k in kept], labels)
+    return pa.table([pa.array([model.weights], pa.list_(pa.float64())), pa.array([model.bias])], schema=kind)
 
 
-def fit_scorer(docs: DataFrame, labels: LabelModel, train_texts: int = TRAIN_TEXTS, parts: int = TRAIN_PARTS) -> Scorer:
-    """A scorer trained on the posterior labels of a bounded sample of the documents.
+def fit_scorer(docs: DataFrame, labels: LabelModel, train_texts: int = TRAIN_TEXTS, parts: int = TRAIN_PARTS) -> Scorer | None:
+    """A scorer trained on the posterior labels of a bounded sample of the different texts.
 
-    Equal texts are taken once. Each part of the sample is fitted in a task of its own, and the weights are averaged.
+    Equal texts count once, in the rate of the sample too: where there are no more than `train_texts` different ones, all
+    are taken. Each part of the sample is fitted in a task of its own, and the weights are averaged. A part whose texts
+    are all good or all bad teaches nothing; without any other part there is no scorer.
     """
     texts = docs.where("text is not null").select("text")
-    n = texts.count()
+    n = texts.agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).first()[0]
+    rate = min(1.0, train_texts / n) if n > train_texts / 2 else 1.0
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    sample = texts.withColumn("h", F.xxhash64("text", F.lit(1))).where(place < F.lit(int((1 << 30) * min(1.0, train_texts / max(n, 1)))))
+    sample = texts.withColumn("h", F.xxhash64("text", F.lit(1))).where(place < F.lit(int((1 << 30) * rate)))
     sample = sample.dropDuplicates(["h"]).withColumn("part", F.pmod("h", F.lit(parts)).cast("int"))
     found = sample.select("part", "h", "text").mapInArrow(_features(labels), "part int, h bigint, label double, slots array<smallint>")
     fitted = found.groupBy("part").applyInArrow(_fit_part, "weights array<double>, bias double").collect()
     if not fitted:
-        return Scorer(np.zeros(SLOTS), 0.0)
+        return None
     return Scorer(np.mean([r.weights for r in fitted], axis=0), float(np.mean([r.bias for r in fitted])))
 
 
 def classify(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents with `quality` (chance of being good) and `keep` (it reaches `least`).
 
-    Null, empty and blank texts score 0 and are not kept. Equal texts score the same. Columns of these names are replaced.
+    Null, empty and blank texts score 0 and are not kept. Equal texts score the same. Where the different texts are too
+    few or too alike to train on (all of them good or all bad in every part), the score is the label model's posterior.
+    Columns of these names are replaced.
     """
     labels = fit_labels(docs)
     scorer = fit_scorer(docs, labels)
@@ -276,7 +285,10 @@ def classify(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in steps(batches, "text"):
-            value = scorer.score(data, at)
+            if scorer is not None:
+                value = scorer.score(data, at)
+            else:
+                value = np.where(_sums(_SOLID[data], at) > 0, labels.posterior(votes(data, at).astype(np.int64)), 0.0)
             yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(value), pa.array(value >= least)], [*names, "quality", "keep"])
 
     return kept.mapInArrow(score, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema) + "quality double, keep boolean")
