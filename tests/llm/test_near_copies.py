@@ -61,10 +61,23 @@ def test_against_all_pairs(spark, monkeypatch, copies, block):
     assert any(r.n_links > 1 for r in got) and any(r.n_copies for r in got)
 
 
-def test_shuffled_keys(spark, monkeypatch, copies):
-    monkeypatch.setattr(nc, "BROADCAST_KEYS", 0)
-    got = nc.near_copies(spark.createDataFrame(copies, "doc_id bigint, text string")).collect()
-    assert {r.doc_id: r.n_links for r in got} == {k: v[3] for k, v in brute(copies).items()}
+def test_texts_without_an_id_keep_their_links(spark):
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join([*base[:-1], "y"])]
+    got = nc.near_copies(spark.createDataFrame([(1, texts[0]), (2, texts[1]), (None, texts[2]), (None, texts[2])], "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.class_id, str(r.text_id), r.n_copies, r.n_links) for r in got) == [
+        ("1", 1, "1", 0, 2), ("2", 1, "2", 0, 2), ("None", 1, "None", 1, 2), ("None", 1, "None", 1, 2)]
+
+
+def test_texts_that_share_an_id_are_judged_each_by_itself(spark):
+    base, other = [f"w{k}" for k in range(60)], " ".join(f"v{k}" for k in range(50))
+    one, near = " ".join(base), " ".join([*base[:-1], "x"])
+    rows = [(1, one), (7, near), (7, other), (7, other), (8, other), (9, ""), (9, "..."), (9, ""), (None, near), (None, "lone words here"), (None, "lone words, here"), (None, None), (None, None)]
+    left = nc.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = [(1, one), (7, other), (9, ""), (9, "..."), (None, "lone words here"), (None, None)]
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, want))
+    nameless = nc.one_of_each(spark.createDataFrame([(None, one), (None, near), (None, other)], "doc_id bigint, text string")).collect()
+    assert len(nameless) == 2 and other in [r.text for r in nameless]
 
 
 def test_banding_reaches_its_recall():
@@ -94,7 +107,8 @@ def test_odd_rows(spark, odd, odd_rows, nothing):
     by = {r.doc_id: r for r in got}
     assert by[2].class_id == 1 and by[2].n_copies == 3 and by[3].class_id == 3 and by[3].n_links == 0
     left = nc.one_of_each(odd).collect()
-    assert sorted(str(r.doc_id) for r in left) == sorted(["1", "3", "4", "None", "None", "5", "6", "7", "10"] + (["9"] if by[9].class_id == 9 else []))
+    nameless = [r for r in got if r.doc_id is None and r.class_id is None]
+    assert sorted(str(r.doc_id) for r in left) == sorted(["1", "3", "4", "5", "6", "7", "10"] + ["None"] * len(nameless) + [k for k in ("8", "9") if by[int(k)].class_id == int(k)])
     twice = nc.one_of_each(odd.where("doc_id = 2")).collect()
     assert len(twice) == 1 and twice[0].source == "a"
     assert nc.near_copies(nothing).count() == 0 and nc.one_of_each(nothing).count() == 0

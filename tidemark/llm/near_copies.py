@@ -27,8 +27,6 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 MOST_HASHES = 128
 #: Classes and n-grams of a block, about.
 BLOCK_CLASSES, BLOCK_VALUES = 512, 1 << 20
-#: Most class keys that are broadcast to fetch their texts; more are joined by a shuffle.
-BROADCAST_KEYS = 1 << 20
 
 
 def banding(similarity: float = SIMILARITY, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -180,12 +178,10 @@ def _verified(docs: DataFrame, classes: DataFrame, words: int, bands: int, simil
     cells = buckets.groupBy("size", "total", "m1", "m2").agg(F.min(F.struct("band", "hash")).alias("cell"))
     cells = cells.select("cell.band", "cell.hash", F.ceil(F.greatest(F.col("size") / BLOCK_CLASSES, F.col("total") / BLOCK_VALUES)).cast("int").alias("blocks"))
     members = settled(spread.select("key", "hash").join(cells, "hash"), "near-cells")
-    wanted = members.select("key").distinct()
-    ids = classes.join(wanted, "key").select("doc_id")
-    if wanted.count() <= BROADCAST_KEYS:
-        ids = F.broadcast(ids)
-    # Of documents that repeat an id, the others' sets are read as well and find no member.
-    sets = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi").select("text").mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"])
+    ids = classes.join(members.select("key").distinct(), "key").where("doc_id is not null").select("doc_id").distinct()
+    # Of documents that repeat an id or have none, the others' sets are read as well and find no member.
+    named = docs.where("doc_id is not null").select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("text")
+    sets = named.unionByName(docs.where("doc_id is null").select("text")).mapInArrow(_sets(words), "key binary, grams binary").dropDuplicates(["key"])
     sets = sets.join(classes.select("key", "bands"), "key")
     own = F.pmod(F.xxhash64("key", F.lit(3)), F.col("blocks")).cast("int")
     pairs = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -193,13 +189,10 @@ def _verified(docs: DataFrame, classes: DataFrame, words: int, bands: int, simil
     return pairs.join(sets, "key").groupBy("hash", "first", "second").applyInArrow(_compare(similarity), "key binary, n_links bigint, near binary")
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """A row per document: doc_id, class_id, text_id, n_copies, n_links.
+def _classified(docs: DataFrame, words: int, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key) of all documents, and of every key its text_id, class_id, copies, n_links and whether it leads its class.
 
-    text_id is the least doc_id with the same n-gram set and n_copies the number of other documents that have it; n_links
-    counts the different n-gram sets of at least the similarity, each once; class_id is the least doc_id that links and
-    copies lead to. Texts without words (null and empty ones too) have no copies and no links and are their own class.
-    Rows with a null doc_id get the class of their text. An empty table gives no rows.
+    A class is led by the key of the least doc_id, of several by the least key; keys without a doc_id come last.
     """
     bands, rows = banding(similarity, recall)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -211,9 +204,22 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     count = found.groupBy("key").agg(F.sum("n_links").alias("n_links"))
     named = classes.select("key", "doc_id", "copies").join(count, "key", "left").join(components(found.select(F.col("key").alias("a"), F.col("near").alias("b"))), "key", "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    named = named.join(least, "root").select("key", F.col("doc_id").alias("text_id"), "class_id", "copies", "n_links")
-    out = signed.select("doc_id", "key").join(named, "key", "left")
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("leader"))
+    named = named.join(least, "root").select("key", F.col("doc_id").alias("text_id"), F.col("leader.doc_id").alias("class_id"), "copies", "n_links", (F.col("key") == F.col("leader.key")).alias("leads"))
+    return signed.select("doc_id", "key"), named
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """A row per document: doc_id, class_id, text_id, n_copies, n_links.
+
+    text_id is the least doc_id with the same n-gram set and n_copies the number of other documents that have it; n_links
+    counts the different n-gram sets of at least the similarity, each once; class_id is the least doc_id that links and
+    copies lead to. Texts without words (null and empty ones too) have no copies and no links and are their own class.
+    Rows with a null doc_id get the class of their text; a text or class without any doc_id has a null id, and its links
+    count like others. An empty table gives no rows.
+    """
+    signed, named = _classified(docs, words, similarity, recall)
+    out = signed.join(named, "key", "left")
     zero = F.lit(0).cast("bigint")
     return out.select(
         "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -221,20 +227,52 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         F.coalesce(F.col("copies") - 1, zero).alias("n_copies"), F.coalesce("n_links", zero).alias("n_links"))
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The document of least doc_id of every class, with its columns.
+def _keyed(rows: DataFrame, words: int) -> DataFrame:
+    """The rows with `_key`, that of their n-gram set; texts without words have a longer one of their own."""
+    names = rows.columns
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, at in steps(batches, "text"):
+            values, v_at = shingle_sets(data, at, words)
+            texts = batch.column("text")
+            keys = [set_key(values[a:b]) if b > a else None if not texts[k].is_valid else b"=" * 17 + data[at[k] : at[k + 1]].tobytes() for k, (a, b) in enumerate(zip(v_at, v_at[1:]))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*names, "_key"])
+
+    return rows.mapInArrow(key, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema) + "_key binary")
+
+
+def _first_of(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Of the rows of each doc_id and key that of the least text."""
+    row = F.struct(*(F.col(f"`{c}`") for c in names))
+    return rows.groupBy("doc_id", "_key").agg(F.min_by(row, F.struct(F.col("text").isNull().alias("none"), "text")).alias("row")).select("row.*")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """One document of every class, with its columns: of its leading text the row of least doc_id.
 
-    Rows that repeat a doc_id are judged together: of those with the least text one stays, if the id stays. Rows with a
-    null doc_id cannot be told apart and stay.
+    Rows are told apart by doc_id and text: different texts under one doc_id are judged each by itself, repeated rows are
+    copies, of which one stays. Rows with a null doc_id give way to any copy that has one; else one of a class stays.
+    Texts without words stay, once for each doc_id and text.
     """
-    found = settled(near_copies(docs, words, similarity).where("doc_id is not null"), "near-classes-named")
-    lost = found.where("class_id is not null").groupBy("doc_id").agg(F.min((F.col("doc_id") != F.col("class_id")).cast("int")).alias("lost"), F.count("*").alias("n"))
-    gone = settled(lost.where("lost = 1 or n > 1"), "near-gone")
-    gone_ids, again = gone.select("doc_id"), gone.where("lost = 0").select("doc_id")
+    names = [c for c in docs.columns if c != "_key"]
+    docs = docs.select(*(F.col(f"`{c}`") for c in names))
+    signed, named = _classified(docs, words, similarity, recall)
+    judged = signed.join(named, "key", "left").select(
+        "doc_id", "key", (F.col("key").isNull() | (F.col("leads") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("stays"))
+    judged = settled(judged, "near-judged")
+    with_id = judged.where("doc_id is not null")
+    lost = with_id.groupBy("doc_id").agg(F.max(F.col("stays").cast("int")).alias("stays"), F.count("*").alias("n"))
+    gone = settled(lost.where("stays = 0 or n > 1"), "near-gone")
+    gone_ids, again = gone.select("doc_id"), gone.where("stays = 1").select("doc_id")
     # Both joins read the same exchange, so texts move once, and the plan is the same for few and many ids.
-    named = docs.where("doc_id is not null")
-    once = named.join(gone_ids.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    several = named.join(again.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
-    order = F.struct(F.col("text").isNull().alias("none"), "text")
-    least = several.groupBy("doc_id").agg(F.min_by(F.struct(*(F.col(c) for c in docs.columns)), order).alias("row")).select("row.*")
-    return once.unionByName(least).unionByName(docs.where("doc_id is null"))
+    ids = docs.where("doc_id is not null")
+    once = ids.join(gone_ids.hint("shuffle_hash"), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in names))
+    several = ids.join(again.hint("shuffle_hash"), "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in names))
+    kept = with_id.join(again, "doc_id", "left_semi").where("stays and key is not null").select("doc_id", F.col("key").alias("_key")).distinct()
+    several = _keyed(several, words)
+    wordless = F.col("_key").isNull() | (F.length("_key") > 16)
+    several_kept = several.where(~wordless).join(kept, ["doc_id", "_key"], "left_semi").unionByName(several.where(wordless))
+    nameless = _keyed(docs.where("doc_id is null"), words)
+    led = judged.where("doc_id is null and stays and key is not null").select(F.col("key").alias("_key")).distinct()
+    nameless_kept = nameless.where(~wordless).join(led, "_key", "left_semi").unionByName(nameless.where(wordless))
+    return once.unionByName(_first_of(several_kept, names)).unionByName(_first_of(nameless_kept, names))
