@@ -12,10 +12,13 @@ search takes only cuts that the merges reach, of which each prefix of a word has
 
 from __future__ import annotations
 
+import array
+import os
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,8 @@ from tidemark.llm.texts import steps
 MARK = "▁"
 #: What an unknown character costs below the worst piece.
 UNKNOWN_COST = 10.0
-#: Words whose ids a task keeps at hand.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker keeps at hand; when there are more, the half that was used most stays.
+CACHE_WORDS = 500_000
 #: Pairs of symbols of which a task remembers whether the merges leave them apart.
 CACHE_PAIRS = 200_000
 
@@ -139,20 +142,23 @@ class PrefixMerges(PrefixViterbi):
     """Cuts by a BPE model's merges, of words that come in sorted order.
 
     The merges cut a prefix into the cut of a shorter prefix and one last symbol. That symbol is the only one that the
-    merges build by itself and leave apart from the last symbol of the shorter prefix; whether they leave two symbols
-    apart is found by merging just these two, once for each pair.
+    merges build by itself and leave apart from the last symbol of the shorter prefix. Whether they leave two symbols
+    apart is asked once for each pair, by taking the two apart again, the later merge first: at every stage the two
+    neighbours at the border must not make a piece that is merged before either of them goes on. Symbols whose parts are
+    merged out of the order of scores are merged anew instead.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
         self.apart: dict[tuple[bytes, bytes], bool] = {}
+        self.made: dict[bytes, tuple[float, bytes, bytes, bool] | None] = {}
         self.last = [b""]
 
-    def merged(self, word: bytes) -> list[bytes]:
-        """The symbols left when, from single characters on, the neighbours of the best piece, leftmost first, are joined until none make a piece."""
+    def merged(self, word: bytes, left: int = 1) -> list[bytes]:
+        """The symbols left when, from single characters on, the neighbours of the best piece, leftmost first, are joined until none make a piece (or `left` are left)."""
         pieces = self.v.pieces
         symbols = _CHARACTER.findall(word)
-        while len(symbols) > 1:
+        while len(symbols) > left:
             best, at = None, -1
             for k in range(len(symbols) - 1):
                 found = pieces.get(symbols[k] + symbols[k + 1])
@@ -163,12 +169,49 @@ class PrefixMerges(PrefixViterbi):
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
+    def _made(self, symbol: bytes) -> tuple[float, bytes, bytes, bool] | None:
+        """When a symbol is merged (less is earlier), from which two, and whether all its parts come in the order of scores; None where the merges don't build it."""
+        if symbol in self.made:
+            return self.made[symbol]
+        halves = self.merged(symbol, 2)
+        if len(halves) == 1:
+            out = float("-inf"), b"", b"", True
+        elif len(halves) > 2 or symbol not in self.v.pieces:
+            out = None
+        else:
+            a, b = (self._made(h) for h in halves)
+            time = -self.v.pieces[symbol][1]
+            out = (time, *halves, a[3] and b[3] and a[0] < time and b[0] < time)
+        self.made[symbol] = out
+        return out
+
     def _stays(self, before: bytes, symbol: bytes) -> bool:
         if len(self.apart) >= CACHE_PAIRS:
             self.apart.clear()
-        out = self.apart[before, symbol] = self.merged(before + symbol) == ([before, symbol] if before else [symbol])
+        out = self.apart[before, symbol] = self._left_apart(before, symbol)
         return out
 
+    def _left_apart(self, before: bytes, symbol: bytes) -> bool:
+        right = self._made(symbol)
+        if right is None or not before:
+            return right is not None
+        left = self._made(before)
+        if not (left and left[3] and right[3]):
+            return self.merged(before + symbol) == [before, symbol]
+        pieces, limit, tie = self.v.pieces, float("inf"), False
+        while True:
+            joined = pieces.get(before + symbol)
+            if joined is not None and (-joined[1] < limit or tie and -joined[1] == limit):
+                return False
+            if left[0] > right[0]:  # the left symbol was merged later; of equal merges the left one comes first
+                limit, tie, before = left[0], False, left[2]
+                left = self._made(before)
+            elif right[1]:
+                limit, tie, symbol = right[0], True, right[1]
+                right = self._made(symbol)
+            else:
+                return True
+
     def _forward(self, word: bytes) -> None:
         keep = self._shared(word)
         while keep and keep < len(word) and word[keep] & 0xC0 == 0x80:  # not inside a character
@@ -182,23 +225,17 @@ class PrefixMerges(PrefixViterbi):
             if end < len(word) and word[end] & 0xC0 == 0x80:
                 last.append(b"")
                 continue
-            first = end - 1
-            while first and word[first] & 0xC0 == 0x80:
-                first -= 1
-            if end == 1:
-                candidates = lengths.get(word[:1], ())
-            else:
-                candidates = lengths.get(word[end - 2 : end], ())
-                if word[end - 1] < 0x80:
-                    candidates = [*candidates, *lengths.get(word[end - 1 : end], ())]
-            found = word[first:end]
-            for n in candidates:
-                if end - first < n <= end and (symbol := word[end - n : end]) in pieces:
+            for n in lengths.get(word[end - 2 : end], ()):  # pieces of several bytes; none of them ends a word of one
+                if n <= end and (symbol := word[end - n : end]) in pieces:
                     before = last[end - n]
                     if (known := apart.get((before, symbol))) or known is None and self._stays(before, symbol):
-                        found = symbol
+                        last.append(symbol)
                         break
-            last.append(found)
+            else:
+                first = end - 1
+                while first and word[first] & 0xC0 == 0x80:
+                    first -= 1
+                last.append(word[first:end])
         self.word = word
 
     def encode(self, word: bytes) -> list[int]:
@@ -218,7 +255,28 @@ class Encoder:
     """Ids of whole texts."""
 
     def __init__(self, vocabulary: Vocabulary, search: type[PrefixViterbi] = PrefixViterbi):
-        self.v, self.search, self.cache = vocabulary, search(vocabulary), {}
+        self.v, self.search = vocabulary, search(vocabulary)
+        #: Of each word kept its number; the ids of word k are flat[ends[k] : ends[k + 1]].
+        self.code: dict[bytes, int] = {}
+        self.flat, self.ends = array.array("i"), array.array("q", [0])
+        self.uses = np.zeros(0, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        for w in sorted(words):
+            self.flat.extend(self.search.encode(w))
+            self.code[w] = len(self.ends) - 1
+            self.ends.append(len(self.flat))
+
+    def _forget(self) -> None:
+        """Keep the half of the words that was used most."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: len(self.uses) // 2])
+        words, ends, flat = list(self.code), np.array(self.ends), np.array(self.flat)
+        size = ends[kept + 1] - ends[kept]
+        total = np.cumsum(size)
+        self.flat = array.array("i", flat[np.arange(int(total[-1])) + np.repeat(ends[kept] - (total - size), size)].astype("i").tobytes())
+        self.ends = array.array("q", np.concatenate([[0], total]).astype("q").tobytes())
+        self.code = {words[k]: n for n, k in enumerate(kept.tolist())}
+        self.uses = self.uses[kept] // 2
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -245,42 +303,58 @@ class Encoder:
         starts = np.flatnonzero(edge)
         cut = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(marked)).astype(np.int32)), pa.py_buffer(marked)]).dictionary_encode()
         words = cut.dictionary.to_pylist()
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        for w in sorted(w for w in words if w not in self.cache):
-            self.cache[w] = np.array(self.search.encode(w), np.int32)
-        known = [self.cache[w] for w in words]
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        flat, first = np.concatenate(known), np.cumsum(size) - size
-        codes = cut.indices.to_numpy(zero_copy_only=False)
-        many = size[codes]
+        if len(self.code) > CACHE_WORDS:
+            self._forget()
+        self._learn([w for w in words if w not in self.code])
+        known = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        codes = known[cut.indices.to_numpy(zero_copy_only=False)]
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.code) - len(self.uses), np.int64)])
+        self.uses += np.bincount(codes, minlength=len(self.uses))
+        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
+        begin, many = ends[codes], ends[codes + 1] - ends[codes]
         total = np.cumsum(many)
-        ids = flat[np.arange(int(total[-1])) + np.repeat(first[codes] - (total - many), many)]
+        ids = flat[np.arange(int(total[-1])) + np.repeat(begin - (total - many), many)]
+        del ends, flat  # arrays that are looked at cannot grow
         row = np.flatnonzero(full)[np.searchsorted(begins[full], starts, "right") - 1]
         return ids, np.bincount(row, weights=many, minlength=len(sizes)).astype(np.int64)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all rows and their n + 1 offsets; the mark in front of each row goes."""
+        """Bytes of all rows and their n + 1 offsets; a mark in front of a row goes. Rows of cut lists may begin or end inside a character."""
         size = (self.v.raw_at[1:] - self.v.raw_at[:-1])[ids]
         ends = np.cumsum(size)
         data = self.v.raw[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.v.raw_at[ids] - (ends - size), size)]
         at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        full = np.diff(at) > 0
-        data = np.delete(data, at[:-1][full])
-        return data, at - np.concatenate([[0], np.cumsum(full)])
+        marked = np.diff(at) > 0
+        marked[marked] = data[at[:-1][marked]] == 0x20
+        data = np.delete(data, at[:-1][marked])
+        return data, at - np.concatenate([[0], np.cumsum(marked)])
+
+
+@lru_cache(maxsize=1)
+def _loaded(path: str, changed: float) -> Encoder:
+    return Encoder.load(path)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which keeps model and words from task to task."""
+    return _loaded(path, os.path.getmtime(path))
 
 
 def _encoder(model: str, names: list[str], digest: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder.load(model)
+        coder = worker_encoder(model)
         byte_ids = np.array(coder.v.byte_ids, np.int32)
         for rows, data, at in steps(batches, "text"):
             ids, counts = coder.encode(data, at)
             ends = np.concatenate([[0], np.cumsum(counts)])
             if digest:
                 back, back_at = coder.decode(ids, counts)
-                same = [back[a:b].tobytes() == data[c:d].tobytes() for a, b, c, d in zip(back_at, back_at[1:], at, at[1:])]
-                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends, ends[1:])]
+                if np.array_equal(back_at, at) and np.array_equal(back, data):
+                    same = np.ones(rows.num_rows, bool)
+                else:
+                    same = [back[a:b].tobytes() == data[c:d].tobytes() for a, b, c, d in zip(back_at, back_at[1:], at, at[1:])]
+                raw, cuts = memoryview(ids.astype("<u4")).cast("B"), (4 * ends).tolist()
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
                 fell = np.concatenate([[0], np.cumsum(np.isin(ids, byte_ids))])
                 out = {"n_tokens": pa.array(counts), "n_byte_tokens": pa.array(fell[ends[1:]] - fell[ends[:-1]], pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "round_trip": pa.array(same)}
             else:
@@ -292,12 +366,12 @@ def _encoder(model: str, names: list[str], digest: bool):
 
 def _decoder(model: str, names: list[str]):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder.load(model)
+        coder = worker_encoder(model)
         for batch in batches:
             texts = []
             for ids in batch.column("ids"):
                 raw = np.array(ids.as_py() or [], np.int64)
-                texts.append(coder.decode(raw, np.array([len(raw)]))[0].tobytes().decode())
+                texts.append(coder.decode(raw, np.array([len(raw)]))[0].tobytes().decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, "text"])
 
     return decode
@@ -315,7 +389,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """The rows with `text` from their `ids`; null or no ids: the empty text."""
+    """The rows with `text` from their `ids`; null or no ids: the empty text.
+
+    The first mark goes, if there is one. Lists that begin or end inside a character give U+FFFD for what is left of it;
+    ids outside the model raise IndexError.
+    """
     kept, names, schema = _kept(encoded, "text")
     return kept.mapInArrow(_decoder(model, names), schema + "text string")
 
