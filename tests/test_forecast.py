@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import arma as M
 from tidemark.operators import boosting as B
 from tidemark.operators import fourier as Q
 from tidemark.operators import regress
@@ -81,7 +82,7 @@ def test_order_search_prefers_the_true_order(spark):
     for i in range(2, 2000):
         x[i] = 0.5 * x[i - 1] + 0.35 * x[i - 2] + rng.normal()
     df = make(spark, [pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=2000, freq="h"), "x": x})])
-    best = A.order_search(df, "x", d_range=[0], season=24, width="1h").where("rank = 1").first()
+    best = M.order_search(df, "x", d_range=[0], q_range=[0], season=24).where("rank = 1").first()
     assert (best.p, best.d, best.seasonal_p) == (2, 0, 0)
 
 
@@ -153,7 +154,7 @@ def test_short_and_constant_series_are_reported(spark):
     assert set(tests) == keys and tests["short"].is_stationary is None and tests["flat"].conclusion is None and tests["long"].is_stationary is not None
     d = {r.k: r.d for r in A.select_d(df, "x", 1, ["k"], max_lag=12).collect()}
     assert set(d) == keys and d["short"] is None
-    assert {r.k for r in A.order_search(df, "x", d_range=[0], season=24, keys=["k"]).collect()} == keys
+    assert {r.k for r in M.order_search(df, "x", d_range=[0], season=24, keys=["k"]).collect()} == keys
     fits = A.fit_seasonal_ar(df, "x", season=24, keys=["k"])
     assert {r.k: r.coef is None for r in fits.collect()} == {"long": False, "short": True, "flat": False}
     assert {r.k for r in A.forecast_seasonal_ar(df, "x", fits, 5, "1h", keys=["k"], max_lag=25).collect()} == {"long", "flat"}
@@ -186,3 +187,123 @@ def test_lag_polynomial_and_spread():
         y += w
         assert path[s] == pytest.approx(y)
     np.testing.assert_allclose(spread, np.sqrt(np.cumsum(np.cumsum(0.5 ** np.arange(5)) ** 2)))
+
+
+def _arma(n, phi, theta, seed):
+    rng = np.random.default_rng(seed)
+    e = rng.normal(0, 1, n + 50)
+    w = np.zeros(n + 50)
+    for t in range(1, n + 50):
+        w[t] = phi * w[t - 1] + e[t] + theta * e[t - 1]
+    return w[50:]
+
+
+def test_arma_finds_simulated_coefficients(spark):
+    t = pd.date_range("2024-01-01", periods=6000, freq="h")
+    truth = {"a": (0.6, 0.4), "b": (0.3, -0.5), "c": (-0.4, 0.7)}
+    df = make(spark, [pd.DataFrame({"k": k, "ts": t, "x": 40 + _arma(len(t), *pq, seed)}) for seed, (k, pq) in enumerate(truth.items())]
+              + [pd.DataFrame({"k": "short", "ts": t[:9], "x": np.arange(9.0)})])
+    fits = {r.k: r for r in M.fit_arma(df, "x", 1, 0, 1, keys=["k"]).collect()}
+    for k, (phi, theta) in truth.items():
+        r = fits[k]
+        assert abs(r.coef[1] - phi) < 2 * r.stderr[1] and abs(r.coef[2] - theta) < 2 * r.stderr[2]
+        assert r.sigma == pytest.approx(1, rel=0.05) and list(r.lags) == [1] and list(r.ma_lags) == [1]
+    assert fits["short"].coef is None
+
+
+def test_arma_search_sees_the_moving_average(spark):
+    t = pd.date_range("2024-01-01", periods=5000, freq="h")
+    df = make(spark, [pd.DataFrame({"ts": t, "x": _arma(len(t), 0.0, 0.8, 4)})])
+    best = M.order_search(df, "x", d_range=[0], seasonal_range=[0], season=24).where("rank = 1").first()
+    assert best.q >= 1
+    plain = M.order_search(df, "x", d_range=[0], q_range=[0], seasonal_range=[0], season=24).where("rank = 1").first()
+    assert best.aic < plain.aic - 100
+
+
+def test_arma_forecast_against_its_recursion(spark):
+    w = _arma(900, 0.7, 0.5, 6)
+    tail, coef = 5000 + np.cumsum(w), np.array([0.1, 0.7, 0.5])
+    path, spread = M.extend(tail, coef, [1], [1], {0: 1.0, 1: -1.0}, 6)
+    e = np.zeros(899)
+    d = np.diff(tail)
+    for k in range(1, 899):
+        e[k] = d[k] - 0.1 - 0.7 * d[k - 1] - 0.5 * e[k - 1]
+    first = 0.1 + 0.7 * d[-1] + 0.5 * e[-1]
+    want, y = [], tail[-1]
+    for _ in range(6):
+        y += first
+        want.append(y)
+        first = 0.1 + 0.7 * first
+    np.testing.assert_allclose(path, want, rtol=1e-12)
+    psi = [1.0]
+    for s in range(1, 6):
+        psi.append(1.2 * 0.7 ** (s - 1))
+    np.testing.assert_allclose(spread, np.sqrt(np.cumsum(np.cumsum(psi) ** 2)), rtol=1e-12)
+    t = pd.date_range("2024-01-01", periods=900, freq="h")
+    df = make(spark, [pd.DataFrame({"k": k, "ts": t, "x": tail}) for k in "ab"])
+    fits = M.fit_arma(df, "x", 1, 1, 1, keys=["k"])
+    got = M.forecast_arma(df, "x", fits, 6, "1h", keys=["k"], season=24).toPandas()
+    r = fits.where("k = 'a'").first()
+    want = M.extend(tail[-(M.BURN_IN + 26) :], np.array(r.coef), [1], [1], {0: 1.0, 1: -1.0}, 6)[0]
+    assert len(got) == 12 and got.ts.min() == t[-1] + pd.Timedelta("1h")
+    np.testing.assert_allclose(got[got.k == "a"].sort_values("step").forecast, np.clip(want, 0, None), rtol=1e-9)
+    assert (got.lower <= got.forecast).all() and (got.forecast <= got.upper).all()
+
+
+def test_seasonal_moving_average(spark):
+    """A season's lag of the innovations is found, and the residuals are clean of it."""
+    rng = np.random.default_rng(11)
+    e = rng.normal(0, 1, 4024)
+    t = pd.date_range("2024-01-01", periods=4000, freq="h")
+    df = make(spark, [pd.DataFrame({"ts": t, "x": 9 + e[24:] + 0.6 * e[:-24]})])
+    r = M.fit_arma(df, "x", 0, 0, 0, seasonal_q=1, season=24, long=60).first()
+    assert list(r.ma_lags) == [24, 25] and abs(r.coef[1] - 0.6) < 0.08 and abs(r.coef[2]) < 0.08
+
+
+def test_one_break_leaves_few_hinges(spark):
+    rng = np.random.default_rng(3)
+    t = pd.date_range("2024-01-01", periods=24 * 60, freq="h")
+    u = np.arange(len(t)) / (len(t) - 1)
+    bent = 20 + 30 * u - 55 * np.maximum(u - 0.32, 0) + 3 * np.sin(np.arange(len(t)) * 2 * np.pi / 24)
+    flat = 20 + 30 * u
+    df = make(spark, [pd.DataFrame({"k": k, "ts": t, "x": y + rng.normal(0, 1, len(t))}) for k, y in (("bent", bent), ("flat", flat), ("still", 7 + 0 * u))])
+    m = Q.FourierModel(width="1h", multiplicative=False, keys=("k",), changepoint_prior_scale=0.02)
+    fits = Q.fit_fourier(df, "x", m)
+    deltas = Q.changepoints(fits, m).toPandas()
+    on = deltas[deltas.delta != 0]
+    bends = on[on.k == "bent"]
+    assert 1 <= len(bends) <= 3 and len(on[on.k == "flat"]) <= 3
+    big = bends.loc[bends.delta.abs().idxmax()]
+    assert abs((big.ds - t[0]) / (t[-1] - t[0]) - 0.32) < 0.04 and bends.delta.sum() == pytest.approx(-55, rel=0.15)
+    assert Q.optimality(df, "x", fits, m).toPandas().violation.max() < 1e-6
+    tight = Q.fit_fourier(df, "x", Q.FourierModel(width="1h", multiplicative=False, keys=("k",), changepoint_prior_scale=1e-9))
+    assert all(c == 0 for r in tight.collect() for c in r.coef[2:27])
+
+
+def test_soft_thresholds_against_a_grid():
+    """Two coefficients, one thresholded: the least of the penalised error on a fine grid."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 2))
+    y = x @ [1.0, 0.15] + rng.normal(0, 1, 300)
+    z = np.column_stack([np.ones(300), x, y])
+    for scale in (0.01, 0.05, 1.0):
+        beta, l1, l2 = regress.sparse_least_squares(z.T @ z, np.array([np.inf, np.inf, scale]), np.array([np.inf, 0.5, np.inf]))
+
+        def cost(c):
+            return 0.5 * ((y - z[:, :3] @ c) ** 2).sum() + (l1 * np.abs(c)).sum() + 0.5 * (l2 * c**2).sum()
+
+        best = cost(beta)
+        for step in (1e-1, 1e-3, 1e-5):
+            assert all(cost(beta + step * np.array(d)) >= best - 1e-9 for d in [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)])
+        assert (scale > 0.02) == (beta[2] != 0)
+
+
+def test_cross_products_of_many_keys_are_handed_on(spark, monkeypatch):
+    pdf = pd.DataFrame({"k": [None if i % 7 == 0 else f"k{i % 7}" for i in range(700)], "a": np.arange(700.0), "y": np.arange(700.0) % 5})
+    df = spark.createDataFrame(pdf)
+    want = regress.cross_products(df, ["a"], "y", ["k"]).toPandas()
+    monkeypatch.setattr(regress, "HELD_NUMBERS", 1)
+    got = regress.cross_products(df, ["a"], "y", ["k"]).toPandas()
+    order = ["k", "i", "j"]
+    pd.testing.assert_frame_equal(want.sort_values(order, ignore_index=True), got.sort_values(order, ignore_index=True))
+    assert len(want) == 7 * 6

@@ -145,3 +145,27 @@ def test_series_with_random_holes(hourly, block_rows):
     pd.testing.assert_series_equal(got["x_lag_3"].astype("float64"), g.shift(3).astype("float64"), check_names=False)
     pd.testing.assert_series_equal(got["x_rolling_mean_3"].astype("float64"), g.transform(lambda v: v.rolling(3, min_periods=1).mean()), check_names=False)
     pd.testing.assert_series_equal(got["x_ewm_4"].astype("float64"), g.transform(lambda v: v.ewm(span=4, adjust=False).mean()), check_names=False)
+
+
+def test_wide_windows_equal_plain_frames(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    t = pd.date_range("2024-01-01", periods=700, freq="min")
+    x = np.round(rng.normal(0, 50, 700), 2)
+    x[100:160] = 0.1
+    y = np.where(rng.random(700) < 0.1, np.nan, x)
+    pdf = pd.concat([pd.DataFrame({"k": "a", "ts": t, "x": y}), pd.DataFrame({"k": None, "ts": t[:37], "x": x[:37]}), pd.DataFrame({"k": "nothing", "ts": t[:90], "x": np.nan})])
+    df = spark.createDataFrame(pdf).select("k", F.col("ts").cast("timestamp_ntz").alias("ts"), F.when(~F.isnan("x"), F.col("x")).alias("x"))
+    for n in (25, 37, 90):
+        got = X.add_rolling(df, "x", [3, n], ["k"], block_rows=100).toPandas()
+        monkeypatch.setattr(X, "WIDE_ROWS", 1000)
+        want = X.add_rolling(df, "x", [3, n], ["k"], block_rows=100).toPandas()
+        monkeypatch.undo()
+        assert list(got.columns) == list(want.columns) and len(got) == 827
+        order = ["k", "ts"]
+        pd.testing.assert_frame_equal(got.sort_values(order, ignore_index=True), want.sort_values(order, ignore_index=True), rtol=1e-9, atol=1e-9)
+    whole = df.withColumn("x", F.round("x").cast("bigint"))
+    assert dict(X.add_rolling(whole, "x", [50], ["k"]).dtypes)["x_rolling_max_50"] == "bigint"

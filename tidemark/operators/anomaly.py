@@ -63,7 +63,7 @@ def detect(
     df = df.withColumns(new)
     if any(m in _FRAMED for m in p):
         back = max(p[m]["window"] for m in p if m in _FRAMED)
-        df = overlapping(positioned(df, keys, ts, width, removed), back, block_rows=block_rows)
+        df = overlapping(positioned(df, keys, ts), back, block_rows=block_rows)
         w = block_window(keys)
         framed: dict[str, Column] = {}
         if "rolling" in p:

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.stats import attach
 from tidemark.functions.timebins import seconds_of
 
 BLOCK_ROWS = 8192
@@ -22,16 +21,17 @@ _CHUNK_SECONDS = 30 * 86400
 def with_dense_position(df: DataFrame, keys: list[str], ts: str, name: str = "_pos") -> DataFrame:
     """Add the 0-based rank of each row in its series.
 
-    Rows are counted per 30-day chunk, the few chunk counts are summed up in order, and
-    rows are numbered inside their chunk.
+    Rows are numbered and counted inside 30-day chunks. The first row of every chunk meets those of the other chunks of its
+    series, one each, which gives it the rows before, and hands that on to its chunk. The input is read once.
     """
-    chunked = df.withColumn("_chunk", F.floor(seconds_of(ts) / F.lit(_CHUNK_SECONDS)))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cn")) \
-        .withColumn("_off", F.coalesce(F.sum("_cn").over(before), F.lit(0))).drop("_cn")
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts)
-    return attach(chunked, offsets, [*keys, "_chunk"]) \
-        .withColumn(name, F.row_number().over(inside) - 1 + F.col("_off")).drop("_chunk", "_off")
+    chunk = Window.partitionBy(*keys, "_chunk")
+    heads = Window.partitionBy(*keys, "_part").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.withColumn("_chunk", F.floor(seconds_of(ts) / F.lit(_CHUNK_SECONDS))) \
+        .withColumns({"_nth": F.row_number().over(chunk.orderBy(ts)), "_cn": F.count(F.lit(1)).over(chunk)})
+    head = F.col("_nth") == 1
+    return placed.withColumn("_part", F.when(~head, F.coalesce("_chunk", F.lit(-1 << 62)))) \
+        .withColumn("_off", F.when(head, F.coalesce(F.sum("_cn").over(heads), F.lit(0)))) \
+        .withColumn(name, F.max("_off").over(chunk) + F.col("_nth") - 1).drop("_chunk", "_nth", "_cn", "_part", "_off")
 
 
 def with_successor(df: DataFrame, keys: list[str], ts: str, name: str = "_next") -> DataFrame:
@@ -49,13 +49,12 @@ def with_successor(df: DataFrame, keys: list[str], ts: str, name: str = "_next")
         .withColumn(name, F.coalesce("_inner", F.lead(ts).over(ends))).drop("_chunk", "_inner", "_nth", "_part")
 
 
-def positioned(df: DataFrame, keys: list[str], ts: str, width=None, removed=()) -> DataFrame:
-    """Add `_pos`, the row's number in its series.
+def positioned(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Add `_pos`, the row's number in its series, or keep it where it is known already.
 
-    Frames count rows, so positions do too, whatever the grid: rows may be missing anywhere. `width` and `removed` let
-    callers describe their grid and change nothing.
+    Frames count rows, so positions do too, whatever the grid: rows may be missing anywhere.
     """
-    return with_dense_position(df, keys, ts)
+    return df if "_pos" in df.columns else with_dense_position(df, keys, ts)
 
 
 def overlapping(df: DataFrame, back: int, ahead: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -97,7 +97,7 @@ def grid_pivot(results: DataFrame, rows: str, columns: str, values: list[float],
 def direct_labels(df: DataFrame, target: str, horizons: list[int], keys: list[str] = (), ts: str = "ts", width=None, removed=(), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows repeated per horizon with `horizon` and `label` = the target that many rows ahead (NULL past the end)."""
     keys = list(keys)
-    placed = overlapping(positioned(df, keys, ts, width, removed), 0, max(horizons), block_rows)
+    placed = overlapping(positioned(df, keys, ts), 0, max(horizons), block_rows)
     w = block_window(keys)
     pairs = placed.withColumns({f"_h{h}": F.lead(F.col(target).cast("double"), h).over(w) for h in horizons})
     long = own_rows(pairs).withColumn("_p", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"_h{h}").alias("label")) for h in horizons])))

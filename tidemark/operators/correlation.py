@@ -53,7 +53,7 @@ def autocovariance(
     keys = list(keys)
     data = series.where(F.col(value).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias("_x"))
     means = data.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.count("_x").alias("n"))
-    placed = overlapping(positioned(data, keys, ts, width, removed), lags, block_rows=max(block_rows, lags))
+    placed = overlapping(positioned(data, keys, ts), lags, block_rows=max(block_rows, lags))
     centred = attach(placed, means, keys).select(*keys, "n", "_blk", "_pos", "_own", (F.col("_x") - F.col("_m")).alias("_d"))
 
     def share(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -18,7 +18,7 @@ def expanding_folds(
     With n rows the test parts are the last `folds` stretches of n // (folds + 1) rows.
     """
     keys = list(keys)
-    placed = positioned(df, keys, ts, width, removed)
+    placed = positioned(df, keys, ts)
     size = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     step = F.lit(test_size) if test_size else F.floor(F.col("_n") / F.lit(folds + 1))
     rank = F.col("_pos") - F.col("_first")

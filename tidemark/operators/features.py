@@ -16,6 +16,10 @@ from tidemark.schemas import (
 )
 
 
+#: Windows of more rows are put together from runs instead of being read anew for every row.
+WIDE_ROWS = 24
+
+
 def add_calendar(series: DataFrame, ts: str = "ts") -> DataFrame:
     return series.withColumns(calendar_columns(ts))
 
@@ -36,6 +40,41 @@ def rolling_columns(target: str, windows: list[int], w: WindowSpec) -> dict[str,
     return out
 
 
+def _add_wide(df: DataFrame, target: str, n: int, keys: list[str]) -> DataFrame:
+    """The statistics of `rolling_columns` for one wide window, on rows already cut into blocks, at a cost free of its width.
+
+    Rows fall into runs of n. A window is the end of one run and the beginning of the next, so sums, extremes and central
+    moments from both ends of every run, each growing row by row, are put together; nothing is subtracted.
+    """
+    run = F.floor(F.col("_pos") / F.lit(n))
+    up = Window.partitionBy(*keys, "_blk", run).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*keys, "_blk", run).orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, 0)
+    x = F.col(target)
+    parts = {"n": F.count(x), "s": F.sum(x), "m": F.var_pop(x), "hi": F.max(x), "lo": F.min(x)}
+    df = df.withColumns({f"_u{k}": c.over(up) for k, c in parts.items()}).withColumns({f"_d{k}": c.over(down) for k, c in parts.items()})
+    # The end of the run before counts unless the window is a whole run or begins with the series.
+    reaches = (F.col("_pos") >= n) & (F.pmod(F.col("_pos"), F.lit(n)) != n - 1)
+    before = block_window(keys)
+    df = df.withColumns({f"_d{k}": F.when(reaches, F.lag(f"_d{k}", n - 1).over(before)) for k in parts})
+    a, b = F.col("_un"), F.coalesce("_dn", F.lit(0))
+    total, both = F.coalesce("_us", F.lit(0)) + F.coalesce("_ds", F.lit(0)), a + b
+    gap = F.try_divide("_us", a) - F.try_divide("_ds", b)
+    moment = F.coalesce(F.col("_um") * a, F.lit(0.0)) + F.coalesce(F.col("_dm") * b, F.lit(0.0)) + F.coalesce(F.try_divide(gap * gap * a * b, both), F.lit(0.0))
+    hi, lo = F.greatest("_uhi", "_dhi"), F.least("_ulo", "_dlo")
+    return df.withColumns({
+        f"{target}_rolling_mean_{n}": F.try_divide(total, both), f"{target}_rolling_std_{n}": F.when((both < 2) | (hi == lo), 0.0).otherwise(F.sqrt(F.try_divide(moment, both - 1))),
+        f"{target}_rolling_max_{n}": hi, f"{target}_rolling_min_{n}": lo,
+    }).drop(*[f"_{side}{k}" for side in "ud" for k in parts])
+
+
+def _add_rolling(df: DataFrame, target: str, windows: list[int], keys: list[str]) -> DataFrame:
+    df = df.withColumns(rolling_columns(target, [n for n in windows if n <= WIDE_ROWS], block_window(keys)))
+    for n in windows:
+        if n > WIDE_ROWS:
+            df = _add_wide(df, target, n, keys)
+    return df
+
+
 def diff_columns(target: str, periods: list[int], w: WindowSpec) -> dict[str, Column]:
     """Differences, and relative changes that are NULL where the earlier value is 0."""
     out = {}
@@ -82,14 +121,15 @@ def _add_smoothed(df: DataFrame, target: str, spans: list[int], keys: list[str])
 
 
 def feature_config(granularity=None, lags=None, windows=None, diff_periods=None, ewm_spans=None) -> dict:
+    """The lists given (an empty one means none of the kind), else those of the granularity."""
     given = {"lags": lags, "windows": windows, "diff_periods": diff_periods, "ewm_spans": ewm_spans}
     base = {**FEATURE_DEFAULTS, **FEATURE_CONFIGS.get(granularity, {})}
-    return {k: list(given[k]) if given[k] else base[k] for k in given}
+    return {k: base[k] if given[k] is None else list(given[k]) for k in given}
 
 
 def _blocked(series, keys, ts, width, removed, back, block_rows):
     require_timestamp(series, ts)
-    return overlapping(positioned(series, keys, ts, width, removed), back, block_rows=block_rows)
+    return overlapping(positioned(series, keys, ts), back, block_rows=block_rows)
 
 
 def _apply(series, keys, ts, width, removed, block_rows, back, build, spans=(), target=None):
@@ -120,7 +160,8 @@ def _time_lags(series, target, lags, keys, ts, width) -> DataFrame:
 
 
 def add_rolling(series, target, windows, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    return _apply(series, keys, ts, width, removed, block_rows, max(windows), lambda w: rolling_columns(target, windows, w))
+    df = _blocked(series, list(keys), ts, width, removed, max(windows), block_rows)
+    return own_rows(_add_rolling(df, target, list(windows), list(keys)))
 
 
 def add_diffs(series, target, periods, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
@@ -144,16 +185,12 @@ def all_features(
     require_columns(series, target, *more_targets)
     keys = list(keys)
     cfg = feature_config(granularity, **config)
-    back = max([*cfg["lags"], *cfg["windows"], *cfg["diff_periods"], _smooth_reach(cfg["ewm_spans"])])
+    back = max([0, *cfg["lags"], *cfg["windows"], *cfg["diff_periods"], _smooth_reach(cfg["ewm_spans"])])
     df = _blocked(series, keys, ts, width, removed, back, block_rows)
     w = block_window(keys)
-    frames = {
-        **lag_columns(target, cfg["lags"], w), **rolling_columns(target, cfg["windows"], w),
-        **diff_columns(target, cfg["diff_periods"], w),
-    }
-    for other in more_targets:
-        frames |= lag_columns(other, cfg["lags"], w) | rolling_columns(other, cfg["windows"], w)
-    df = _add_smoothed(df.withColumns(frames), target, cfg["ewm_spans"], keys)
+    for name in (target, *more_targets):
+        df = _add_rolling(df.withColumns(lag_columns(name, cfg["lags"], w)), name, cfg["windows"], keys)
+    df = _add_smoothed(df.withColumns(diff_columns(target, cfg["diff_periods"], w)), target, cfg["ewm_spans"], keys)
     return add_calendar(own_rows(df), ts)
 
 
@@ -178,7 +215,7 @@ def supervised(
 ) -> DataFrame:
     """Keys, timestamp, features and `label` = the target `horizon` rows ahead."""
     keys = list(keys)
-    placed = overlapping(positioned(df, keys, ts, width, removed), 0, horizon, block_rows)
+    placed = overlapping(positioned(df, keys, ts), 0, horizon, block_rows)
     out = own_rows(placed.withColumn("label", F.lead(target, horizon).over(block_window(keys)).cast("double")))
     out = out.select(*keys, ts, *features, "label")
     return out.na.drop(subset=[*features, "label"]) if dropna else out
@@ -197,17 +234,18 @@ def rolling_full(series, target, window, keys=(), ts="ts", width=None, removed=(
 def centered_mean(series, target, window=7, keys=(), ts="ts", width=None, block_rows=BLOCK_ROWS) -> DataFrame:
     """Centred moving mean over an odd number of rows, NULL at both ends."""
     keys, half = list(keys), window // 2
-    df = overlapping(positioned(series, keys, ts, width), half, half, block_rows)
+    df = overlapping(positioned(series, keys, ts), half, half, block_rows)
     frame = block_window(keys).rowsBetween(-half, half)
     full = F.count(target).over(frame) == window
     return own_rows(df.withColumn(f"{target}_centered_{window}", F.when(full, F.avg(target).over(frame))))
 
 
-def naive_forecast(series, target="request_count", window=4, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    """`prediction` = mean of the `window` rows before; the first rows take the first such mean."""
+def naive_forecast(series, target="request_count", window=4, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS, lags=()) -> DataFrame:
+    """`prediction` = mean of the `window` rows before; the first rows take the first such mean. Earlier values at `lags` come along in the same blocks."""
     keys = list(keys)
-    df = overlapping(positioned(series, keys, ts, width, removed), window, window, block_rows)
+    df = overlapping(positioned(series, keys, ts), max([window, *lags]), window, block_rows)
     w = block_window(keys)
+    df = df.withColumns(lag_columns(target, list(lags), w))
     frame = w.rowsBetween(-window, -1)
     df = df.withColumn("prediction", F.when(F.count(target).over(frame) == window, F.avg(target).over(frame)))
     nxt = F.first("prediction", ignorenulls=True).over(w.rowsBetween(0, window))
@@ -238,7 +276,7 @@ def look_ahead(series, target, horizon, keys=(), ts="ts", name=None, width=None,
     """The value `horizon` rows on, clamped to the series' last row."""
     keys, name = list(keys), name or f"{target}_ahead"
     ends = series.groupBy(*keys).agg(F.max_by(target, ts).alias("_end"))
-    df = overlapping(positioned(series, keys, ts, width, removed), 0, horizon, block_rows)
+    df = overlapping(positioned(series, keys, ts), 0, horizon, block_rows)
     df = own_rows(df.withColumn(name, F.lead(target, horizon).over(block_window(keys)))
                   .withColumn("_has", F.lead("_pos", horizon).over(block_window(keys)).isNotNull()))
     return attach(df, ends, keys).withColumn(name, F.when(F.col("_has"), F.col(name)).otherwise(F.col("_end"))) \

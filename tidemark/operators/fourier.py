@@ -46,10 +46,11 @@ class FourierModel:
     def features(self) -> list[str]:
         return ["trend", *self.hinge_names(), *[n for s in self.seasons for n in self.seasonal_names(s)]]
 
-    def penalty(self) -> list[float]:
-        hinge, season = 1 / self.changepoint_prior_scale ** 2, 1 / self.seasonality_prior_scale ** 2
-        seasonal = sum(len(self.seasonal_names(s)) for s in self.seasons)
-        return [0.0, *[hinge] * self.changepoints, *[season] * seasonal]
+    def priors(self) -> tuple[list[float], list[float]]:
+        """Scales of the Laplace priors of the slope changes and of the normal priors of the seasonal terms; infinite where there is none."""
+        none, seasonal = float("inf"), sum(len(self.seasonal_names(s)) for s in self.seasons)
+        laplace = [none, *[self.changepoint_prior_scale] * self.changepoints, *[none] * seasonal]
+        return laplace, [none, *[none] * self.changepoints, *[self.seasonality_prior_scale] * seasonal]
 
 
 def fourier_columns(model: FourierModel, ts: str = "ts") -> dict[str, Column]:
@@ -104,14 +105,36 @@ def history_spans(df: DataFrame, model: FourierModel, ts: str = "ts") -> DataFra
     return df.groupBy(*model.keys).agg(F.min(sec).alias("_lo"), F.max(sec).alias("_hi"))
 
 
+def _framed(df: DataFrame, value: str, spans: DataFrame, model: FourierModel, ts: str) -> DataFrame:
+    y = F.col(value).cast("double")
+    return attach(df.select(*model.keys, ts, (F.log1p(y) if model.multiplicative else y).alias("_y")), spans, list(model.keys)).withColumn("_x", design_array(model, ts))
+
+
 def fit_fourier(df: DataFrame, value: str, model: FourierModel, ts: str = "ts") -> DataFrame:
-    """One row per series: the regression's coefficients and spread, and the history's span."""
+    """One row per series: the regression's coefficients and spread, and the history's span.
+
+    Slope changes are sparse: those that the history does not bear out are exactly 0.
+    """
     keys = list(model.keys)
     spans = history_spans(df, model, ts)
-    y = F.col(value).cast("double")
-    frame = attach(df.select(*keys, ts, (F.log1p(y) if model.multiplicative else y).alias("_y")), spans, keys) \
-        .withColumn("_x", design_array(model, ts))
-    return attach(regress.fit(frame, "_x", "_y", keys, model.penalty()), spans, keys)
+    return attach(regress.fit_sparse(_framed(df, value, spans, model, ts), "_x", "_y", *model.priors(), keys), spans, keys)
+
+
+def optimality(df: DataFrame, value: str, models: DataFrame, model: FourierModel, ts: str = "ts") -> DataFrame:
+    """`(keys, n_obs, violation)`: by how much, per row, a coefficient misses its condition; 0 at the optimum.
+
+    The summed products of residual and feature equal the slope of the coefficient's prior, or, where the coefficient is
+    0, stay within the threshold.
+    """
+    keys = list(model.keys)
+    rows = attach(_framed(df, value, models.select(*keys, "_lo", "_hi"), model, ts), models.select(*keys, "coef"), keys).where(F.col("_y").isNotNull() & F.col("coef").isNotNull())
+    z = F.concat(F.array(F.lit(1.0)), F.col("_x"))
+    rest = F.col("_y") - F.aggregate(F.zip_with(z, F.col("coef"), lambda x, c: x * c), F.lit(0.0), lambda s, v: s + v)
+    pulls = rows.select(*keys, F.posexplode(F.transform(z, lambda x: x * rest)).alias("_j", "_g")).groupBy(*keys, "_j").agg(F.sum("_g").alias("_g"), F.count("_g").alias("n_obs"))
+    at = attach(pulls, models.select(*keys, "coef", "l1", "l2"), keys)
+    b, l1, l2 = (F.element_at(c, F.col("_j") + 1) for c in ("coef", "l1", "l2"))
+    missed = F.when((b == 0) & (l1 > 0), F.greatest(F.abs(F.col("_g")) - l1, F.lit(0.0))).otherwise(F.abs(F.col("_g") - l2 * b - l1 * F.signum(b)))
+    return at.groupBy(*keys).agg(F.max("n_obs").alias("n_obs"), (F.max(missed) / F.max("n_obs")).alias("violation"))
 
 
 def future_grid(models: DataFrame, periods: int, model: FourierModel) -> DataFrame:

@@ -31,7 +31,7 @@ def average_path(n: float) -> float:
 def traffic_features(series, value, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
     """Keys, `ts` and `_x` = value, lag 1, difference and full 4-row mean; NULL `_x` at a series' start."""
     keys = list(keys)
-    df = overlapping(positioned(series, keys, ts, width, removed), 4, block_rows=block_rows)
+    df = overlapping(positioned(series, keys, ts), 4, block_rows=block_rows)
     w = block_window(keys)
     x, prev, frame = F.col(value).cast("double"), F.lag(F.col(value).cast("double")).over(w), w.rowsBetween(-3, 0)
     mean = F.when(F.count(value).over(frame) == 4, F.avg(value).over(frame))

@@ -8,6 +8,7 @@ the same sums, so a whole model search needs one pass over the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.stats import attach
 
 INTERCEPT = "_one"
+#: Numbers of cross products that a task sums up before it hands them on.
+HELD_NUMBERS = 1 << 22
 
 
 def _key_fields(df: DataFrame, keys: list[str]) -> list[str]:
@@ -40,17 +43,32 @@ def cross_products(df: DataFrame, features: list[str] | str, label: str, keys: l
     rows = df.select(*keys, F.concat(F.array(F.lit(1.0)), x, F.array(F.col(label).cast("double"))).alias("_z"))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def emptied() -> pd.DataFrame:
+            size = next(iter(held.values())).shape[0]
+            i, j = np.triu_indices(size)
+            out = pd.DataFrame({"i": np.tile(i.astype("int32"), len(held)), "j": np.tile(j.astype("int32"), len(held)), "value": np.concatenate([g[i, j] for g in held.values()])})
+            for n, c in enumerate(keys):
+                out[c] = pd.Series([key[n] for key in held], dtype=object).repeat(len(i)).to_numpy()
+            held.clear()
+            return out[[*keys, "i", "j", "value"]]
+
         for pdf in batches:
             for key, part in pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]:
                 z = np.array(part["_z"].tolist(), dtype="float64")
                 z = z[np.isfinite(z).all(axis=1)] if len(z) else z
                 if not len(z):
                     continue
-                i, j = np.triu_indices(z.shape[1])
-                out = pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "value": (z.T @ z)[i, j]})
-                for n, v in zip(keys, key if isinstance(key, tuple) else (key,)):
-                    out[n] = None if pd.isna(v) else v
-                yield out[[*keys, "i", "j", "value"]]
+                key = tuple(None if pd.isna(v) else v for v in (key if isinstance(key, tuple) else (key,)))
+                if key in held:
+                    held[key] += z.T @ z
+                else:
+                    held[key] = z.T @ z
+                if len(held) * z.shape[1] ** 2 > HELD_NUMBERS:
+                    yield emptied()
+        if held:
+            yield emptied()
 
     schema = ", ".join([*_key_fields(df, keys), "i int", "j int", "value double"])
     return rows.mapInPandas(sums, schema).groupBy(*keys, "i", "j").agg(F.sum("value").alias("value"))
@@ -107,6 +125,58 @@ def fit(df: DataFrame, features: list[str] | str, label: str, keys: list[str] =
     return with_every_key(per_series(cross_products(df, features, label, keys), keys, solve, FIT_SCHEMA), df, keys)
 
 
+def sparse_least_squares(g: np.ndarray, laplace: np.ndarray, normal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coefficients with soft thresholds, and the thresholds and ridge weights that applied.
+
+    Minimises half the squared error plus l1 |b| plus half of l2 b^2. `laplace` and `normal` are the prior scales of each
+    coefficient in units of the label's root mean square, infinite where there is no prior; the error variance is that of
+    plain least squares. Coordinate descent on the cross products finds support and signs; once they settle, the linear
+    system of the support gives the coefficients exactly.
+    """
+    k = g.shape[0] - 1
+    a, b, n = g[:k, :k], g[:k, -1], g[0, 0]
+    beta, sse, _ = least_squares(g, list(range(k)))
+    scale = math.sqrt(g[-1, -1] / n) or 1.0
+    variance = sse / max(n - k, 1.0)
+    l1, l2 = variance / (laplace * scale), variance / (normal * scale) ** 2
+    soft, steep = l1 > 0, np.diag(a) + l2
+    beta = np.where(soft | (steep <= 0), 0.0, beta)
+    slack = 1e-9 * (np.abs(b) + l1 + 1e-12)
+    for sweep in range(20_000):
+        for j in np.flatnonzero(steep > 0):
+            pull = b[j] - a[j] @ beta + a[j, j] * beta[j]
+            beta[j] = np.sign(pull) * max(abs(pull) - l1[j], 0.0) / steep[j]
+        if sweep % 10 == 9:
+            on = np.flatnonzero((steep > 0) & (~soft | (beta != 0)))
+            sign = np.where(soft[on], np.sign(beta[on]), 0.0)
+            exact = np.linalg.lstsq(a[np.ix_(on, on)] + np.diag(l2[on]), b[on] - l1[on] * sign, rcond=None)[0]
+            rest = b - a[:, on] @ exact
+            rest[on] = 0
+            if (np.sign(exact[soft[on]]) == sign[soft[on]]).all() and (np.abs(rest) <= l1 + slack).all():
+                beta = np.zeros(k)
+                beta[on] = exact
+                break
+    return beta, l1, l2
+
+
+SPARSE_SCHEMA = "n_obs double, parameters int, sse double, sigma double, coef array<double>, l1 array<double>, l2 array<double>, aic double, bic double"
+
+
+def fit_sparse(df: DataFrame, features: list[str] | str, label: str, laplace: list[float], normal: list[float], keys: list[str] = ()) -> DataFrame:
+    """One row per series as `fit`, with coefficients of `sparse_least_squares` (intercept first) and their weights; `parameters` counts those that are not 0."""
+    lap, nor = np.array([np.inf, *laplace]), np.array([np.inf, *normal])
+
+    def solve(g: np.ndarray) -> list[dict]:
+        beta, l1, l2 = sparse_least_squares(g, lap, nor)
+        k, n = int((beta != 0).sum()), g[0, 0]
+        sse = max(float(g[-1, -1] - 2 * beta @ g[:-1, -1] + beta @ g[:-1, :-1] @ beta), 0.0)
+        fit_term = n * np.log(max(sse, 1e-300) / n)
+        return [{"n_obs": n, "parameters": k, "sse": sse, "sigma": float(np.sqrt(sse / max(n - k, 1.0))), "coef": beta.tolist(),
+                 "l1": l1.tolist(), "l2": l2.tolist(), "aic": fit_term + 2 * k, "bic": fit_term + k * np.log(n)}]
+
+    return with_every_key(per_series(cross_products(df, features, label, keys), keys, solve, SPARSE_SCHEMA), df, keys)
+
+
 def with_every_key(result: DataFrame, series: DataFrame, keys: list[str]) -> DataFrame:
     """The results with a row of NULLs for each series that had no complete row to solve from."""
     return attach(series.select(*keys).distinct(), result, list(keys)) if keys else result

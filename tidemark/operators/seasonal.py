@@ -1,4 +1,4 @@
-"""Seasonal autoregression: stationarity, order search, fit, interval forecasts, residuals."""
+"""Seasonal autoregression: stationarity, fit, interval forecasts, residuals."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import math
 from statistics import NormalDist
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import attach
@@ -55,7 +55,7 @@ def lagged_frame(series, value, lags, d=1, keys=(), ts="ts", width=None, removed
     """Keys, `ts`, `w` = the d-th (and seasonal) difference, `w_<k>` its lags, and the exogenous columns."""
     keys, lags = list(keys), list(lags)
     reach = max([0, *lags]) + d + season * seasonal_d
-    df = overlapping(positioned(series.select(*keys, ts, value, *exog), keys, ts, width, removed), reach, block_rows=block_rows)
+    df = overlapping(positioned(series.select(*keys, ts, value, *exog), keys, ts), reach, block_rows=block_rows)
     win = block_window(keys)
     df = df.withColumn("w", difference_column(value, d, win, seasonal_d, season))
     df = df.withColumns({f"w_{k}": F.lag("w", k).over(win) for k in lags})
@@ -91,7 +91,7 @@ def forecast_seasonal_ar(
     """
     keys, exog, w = list(keys), list(exog), width_seconds(width)
     poly = lag_polynomial(d, seasonal_d, season)
-    placed = positioned(series.select(*keys, ts, value), keys, ts, width, removed)
+    placed = positioned(series.select(*keys, ts, value), keys, ts)
     ends = placed.groupBy(*keys).agg(F.max("_pos").alias("_last"))
     tail = attach(placed, ends, keys).where(F.col("_pos") > F.col("_last") - (max_lag + max(poly) + 1)).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col(value).cast("double").alias("v")))).alias("_t"),
@@ -156,7 +156,7 @@ def check_stationarity(series, value, max_lag=24, d=0, keys=(), ts="ts", width=N
     same rows. A series too short or constant has NULL results.
     """
     keys = list(keys)
-    df = overlapping(positioned(series.select(*keys, ts, value), keys, ts, width, removed), max_lag + d + 2, block_rows=block_rows)
+    df = overlapping(positioned(series.select(*keys, ts, value), keys, ts), max_lag + d + 2, block_rows=block_rows)
     win = block_window(keys)
     df = df.withColumn("_y", difference_column(value, d, win)).withColumn("_dy", F.col("_y") - F.lag("_y").over(win))
     names = {"_level": F.lag("_y").over(win), **{f"_d{k}": F.lag("_dy", k).over(win) for k in range(1, max_lag + 1)}}
@@ -191,29 +191,3 @@ def select_d(series, value, max_d=2, keys=(), **options) -> DataFrame:
         tests = one if tests is None else tests.unionByName(one)
     first = F.coalesce(F.min(F.when(F.col("is_stationary"), F.col("d"))), F.lit(max_d))
     return tests.groupBy(*keys).agg(F.when(F.count("is_stationary") > 0, first).alias("d"))
-
-
-def order_search(series, value, p_range=range(0, 3), d_range=range(0, 2), seasonal_range=range(0, 2), season=96, keys=(), ts="ts", width=None, removed=(), block_rows=BLOCK_ROWS) -> DataFrame:
-    """`(keys, p, d, seasonal_p, aic, rank)`: every order of the grid, best first; a series too short to fit has one row of NULLs.
-
-    One pass per differencing order; all lag sets are sub-models of its cross products.
-    """
-    keys = list(keys)
-    every = lag_set(max(p_range), max(seasonal_range), season)
-    grid = [(p, sp, [0, *[1 + every.index(k) for k in lag_set(p, sp, season)]]) for p in p_range for sp in seasonal_range]
-    out = None
-    for d in d_range:
-        frame = lagged_frame(series, value, every, d, keys, ts, width, removed, (), block_rows)
-
-        def solve(g: np.ndarray, d=d) -> list[dict]:
-            n, found = g[0, 0], []
-            for p, sp, use in grid:
-                sse = regress.least_squares(g, use)[1]
-                found.append({"p": p, "d": d, "seasonal_p": sp, "aic": n * math.log(max(sse, 1e-300) / n) + 2 * len(use)})
-            return found
-
-        one = regress.per_series(regress.cross_products(frame, [f"w_{k}" for k in every], "w", keys), keys, solve,
-                                 "p int, d int, seasonal_p int, aic double")
-        out = one if out is None else out.unionByName(one)
-    ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("aic", "p", "d", "seasonal_p")))
-    return regress.with_every_key(ranked, series, keys)

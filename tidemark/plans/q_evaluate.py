@@ -28,8 +28,7 @@ metrics AS (SELECT model, avg(error * error) AS MSE, sqrt(avg(error * error)) AS
 
 
 def predictions(spark, sf_dir):
-    s = naive(spark, sf_dir)
-    s = X.add_lags(s, T, [1, 96], KEY, width="15min")
+    s = naive(spark, sf_dir, lags=(1, 96))
     models = F.explode(F.array(*[
         F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("predicted"))
         for n, c in (("mean_4", "prediction"), ("lag_1", f"{T}_lag_1"), ("lag_96", f"{T}_lag_96"))]))

@@ -130,6 +130,18 @@ SELECT s.*, {smooth} FROM (SELECT event_type, ts, {T}, {', '.join([*others, *col
 JOIN ewm ON s.event_type = ewm.event_type AND s.ts = ewm.ts"""
 
 
+_CFG1M = X.feature_config("1min", ewm_spans=[])
+
+
+@query("features_1min", f"""WITH {series_ctes('1min')}
+SELECT event_type, ts, {T}, {', '.join([*_lags(T, _CFG1M['lags']), *_rolling(T, _CFG1M['windows']), *_diffs(T, _CFG1M['diff_periods'])])}, {_CALENDAR} FROM series""",
+       doubles=f"{_float_features(T, _CFG1M)} {_CYCLES}")
+def features_1min(spark, sf_dir):
+    """The minute configuration with its day-wide windows; smoothed means apart."""
+    s = series(spark, sf_dir, "1min").select("event_type", "ts", T)
+    return X.all_features(s, T, "1min", KEY, width="1min", ewm_spans=[])
+
+
 @query("all_features_1h", _all_sql("1h", _CFG1H), doubles=f"{_float_features(T, _CFG1H)} {_CYCLES}")
 def all_features_1h(spark, sf_dir):
     s = series(spark, sf_dir, "1h").select("event_type", "ts", T)
@@ -241,9 +253,9 @@ NAIVE_SQL = f"""naive AS (SELECT event_type, ts, {T}, bytes_total, coalesce(p, f
     WINDOW w AS ({_W} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)))"""
 
 
-def naive(spark, sf_dir, freq="15min"):
+def naive(spark, sf_dir, freq="15min", **options):
     s = series(spark, sf_dir, freq).select("event_type", "ts", T, "bytes_total")
-    return X.naive_forecast(s, T, 4, KEY, width=freq)
+    return X.naive_forecast(s, T, 4, KEY, width=freq, **options)
 
 
 @query("naive_forecast", f"WITH {series_ctes('15min')}, {NAIVE_SQL} SELECT event_type, ts, {T}, prediction FROM naive", doubles="prediction")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import attach
+from tidemark.operators import arma as M
 from tidemark.operators import evaluate as E
 from tidemark.operators import fourier as Q
 from tidemark.operators import regress
@@ -102,7 +104,36 @@ def auto_select_d(spark, sf_dir):
 
 @query("order_search")
 def order_search(spark, sf_dir):
-    return A.order_search(_series(spark, sf_dir), T, keys=KEY, width="15min")
+    """Lag, differencing and moving-average orders of every series by AIC."""
+    return M.order_search(_series(spark, sf_dir), T, keys=KEY)
+
+
+@query("order_search_ranks", f"""WITH {series_ctes('15min')}
+SELECT event_type, CAST(36 AS BIGINT) AS orders, true AS by_aic, true AS distinct_ranks FROM series GROUP BY event_type HAVING count(*) > 200""")
+def order_search_ranks(spark, sf_dir):
+    """Whether the ranks of all orders follow their AIC, for every series."""
+    found = order_search(spark, sf_dir).withColumn("lower", F.lag("aic").over(Window.partitionBy(*KEY).orderBy("rank")))
+    return found.where("aic is not null").groupBy(*KEY).agg(
+        F.count("*").alias("orders"), F.coalesce(F.bool_and(F.col("lower") <= F.col("aic")), F.lit(False)).alias("by_aic"), (F.countDistinct("rank") == F.count("*")).alias("distinct_ranks"))
+
+
+@query("arma_optimality", f"""WITH {series_ctes('15min')}
+SELECT event_type, count(*) - 23 AS n_obs, CAST(0 AS DOUBLE) AS gradient FROM series GROUP BY event_type HAVING count(*) > 23""", doubles="gradient")
+def arma_optimality(spark, sf_dir):
+    """The largest mean product of the residuals with any lag of the value or of the innovations: 0 where the second stage is solved."""
+    told = M.innovations(_series(spark, sf_dir), T, 1, KEY)
+    models = M.fit_arma(None, T, 2, 1, 2, keys=KEY, told=told)
+    rows = M.arma_residuals(told, models, 2, 2, keys=KEY)
+    return rows.groupBy(*KEY).agg(F.count("residual").alias("n_obs"), F.greatest(
+        F.abs(F.avg("residual")), *[F.abs(F.avg(F.col("residual") * F.col(c))) for c in ("w_1", "w_2", "e_1", "e_2")]).alias("gradient"))
+
+
+@query("forecast_arma")
+def forecast_arma(spark, sf_dir):
+    """The next day after the training split from lags and innovations, with 95 % intervals."""
+    train, _ = split_train_test(drop_outages(series(spark, sf_dir)).select("event_type", "ts", T), TEST_START)
+    models = M.fit_arma(train, T, 2, 1, 2, seasonal_p=1, keys=KEY)
+    return M.forecast_arma(train, T, models, 96, keys=KEY)
 
 
 _MODEL = Q.FourierModel(width="15min", keys=("event_type",))
@@ -145,6 +176,15 @@ def changepoints(spark, sf_dir):
     return Q.changepoints(_fourier(spark, sf_dir), _MODEL)
 
 
+@query("changepoint_optimality", f"""WITH {series_ctes('15min')}
+SELECT event_type, count(*) AS n_obs, CAST(0 AS DOUBLE) AS violation FROM series
+WHERE is_storm_period = 0 AND ts < TIMESTAMP '{TEST_START}' GROUP BY ALL""", doubles="violation")
+def changepoint_optimality(spark, sf_dir):
+    """By how much the trend model's coefficients, zeros included, miss the conditions of a least penalised error."""
+    train, _ = split_train_test(drop_outages(series(spark, sf_dir)).select("event_type", "ts", T), TEST_START)
+    return Q.optimality(train, T, Q.fit_fourier(train, T, _MODEL), _MODEL)
+
+
 @query("cv_fourier_scores")
 def cv_fourier_scores(spark, sf_dir):
     """Rolling-origin cross-validation: every cut-off is one more series key, fitted in the same job."""

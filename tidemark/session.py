@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "tidemark", shared_dir: str | None = None) -> SparkSession:
@@ -37,3 +37,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back, for rows that are read more than once: the input is computed once, and lineage ends here."""
+    path = f"{scratch_dir(df.sparkSession, purpose)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
