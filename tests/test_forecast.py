@@ -8,6 +8,7 @@ from tidemark.operators import boosting as B
 from tidemark.operators import fourier as Q
 from tidemark.operators import regress
 from tidemark.operators import seasonal as A
+from tidemark.operators import trees
 from tidemark.operators.cv import expanding_folds, rolling_cutoffs, with_cutoffs
 
 
@@ -307,3 +308,79 @@ def test_cross_products_of_many_keys_are_handed_on(spark, monkeypatch):
     order = ["k", "i", "j"]
     pd.testing.assert_frame_equal(want.sort_values(order, ignore_index=True), got.sort_values(order, ignore_index=True))
     assert len(want) == 7 * 6
+
+
+@pytest.fixture(scope="module")
+def grown(spark):
+    """An hourly series of two keys, its features and an ensemble on them."""
+    from tidemark.operators import features as X
+
+    rng = np.random.default_rng(0)
+    t = pd.date_range("2024-01-01", periods=400, freq="h")
+    df = make(spark, [pd.DataFrame({"k": k, "ts": t, "x": s + s * np.sin(np.arange(len(t)) * 2 * np.pi / 24) + rng.normal(0, 1, len(t))}) for k, s in (("a", 40), ("b", 90))])
+    config = {"lags": [1, 2, 24], "windows": [3, 24], "diff_periods": [1], "ewm_spans": [4]}
+    feats = X.all_features(df, "x", None, ["k"], **config)
+    names = [c for c in feats.columns if c.startswith("x_") or c in ("hour", "is_weekend", "hour_sin", "dow_cos", "week_of_year")]
+    sup = X.supervised(feats, "x", names, 1, keys=["k"]).persist()
+    return df, config, feats, names, sup, B.fit_gbt(sup, names, max_iter=12, stepSize=0.3)
+
+
+def test_walk_equals_the_model(spark, grown):
+    *_, names, sup, model = grown
+    nodes = trees.NodeArrays.of(model.stages[-1], spark)
+    both = trees.walk(nodes, B.predict_gbt(model, sup, "p"), names).select("p", "walked").toPandas()
+    np.testing.assert_allclose(both.walked.clip(lower=0), both.p, rtol=1e-12)
+    assert len(nodes.roots) == 12 and (nodes.feature >= 0).any()
+
+
+def test_patience_keeps_the_least_error(spark, grown):
+    *_, names, sup, model = grown
+    fit, valid = B.holdout(sup)
+    curve = B.validation_curve(B.fit_gbt(fit, names, max_iter=12, stepSize=0.9), valid).orderBy("round").toPandas()
+    stopped = B.fit_gbt(fit, names, validation=valid, max_iter=12, patience=12, stepSize=0.9)
+    kept = stopped.stages[-1].getNumTrees
+    assert kept == curve.mse.idxmin() + 1
+    error = B.predict_gbt(stopped, valid).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+    assert error == pytest.approx(curve.mse.min(), rel=1e-9)
+    assert trees.best_round([5, 4, 6, 6, 1], 2) == 2 and trees.best_round([5, 4, 6, 6, 1], 3) == 5 and trees.best_round([1.0], 1) == 1
+
+
+def test_recursive_forecast_equals_one_plan_for_each_step(spark, grown):
+    from tidemark.operators import features as X
+
+    df, config, feats, names, _, model = grown
+    got = trees.forecast_recursive(model, feats, "x", 4, "1h", ["k"]).toPandas().sort_values(["k", "step"], ignore_index=True)
+    rows = df.toPandas()
+    want = []
+    for step in range(1, 5):
+        last = X.all_features(make(spark, [rows]), "x", None, ["k"], **config).groupBy("k").agg(F.max_by(F.struct("ts", *names), "ts").alias("r")).select("k", "r.*")
+        one = B.predict_gbt(model, last).select("k", "ts", "prediction").toPandas()
+        want.append(one.assign(step=step))
+        rows = pd.concat([rows, pd.DataFrame({"k": one.k, "ts": one.ts + pd.Timedelta("1h"), "x": one.prediction})], ignore_index=True)
+    want = pd.concat(want).sort_values(["k", "step"], ignore_index=True)
+    np.testing.assert_allclose(got.prediction, want.prediction, rtol=1e-9)
+    assert (got.ts == want.ts + pd.Timedelta("1h")).all() and got.groupby("k").size().tolist() == [4, 4]
+    with pytest.raises(ValueError):
+        trees.forecast_recursive(B.fit_gbt(feats.withColumnRenamed("x_lag_1", "other_lag_1"), ["other_lag_1"], "x", max_iter=1), feats, "x", 2, "1h", ["k"])
+
+
+def test_fits_run_side_by_side_and_nothing_stays_cached(spark, grown):
+    import threading
+    import time
+
+    seen, most = set(), []
+
+    def work(k):
+        seen.add(threading.get_ident())
+        most.append(k)
+        time.sleep(0.2)
+        return spark.range(k).count()
+
+    assert B.side_by_side(work, [3, 1, 2, 5, 4], 3) == [3, 1, 2, 5, 4] and len(seen) == 3
+    *_, names, sup, _ = grown
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    scores = B.cross_validate(sup, names, folds=2, keys=["k"], max_iter=2)
+    assert sorted(r.fold for r in scores.collect()) == [1, 2] and all(r.RMSE > 0 for r in scores.collect())
+    found = B.grid_search(sup.where("k = 'a'"), sup.where("k = 'b'"), names, grid={"maxDepth": [2, 3], "stepSize": [0.1, 0.5]}, max_iter=2)
+    assert found.count() == 4
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.timebins import seconds_of
 from tidemark.operators import evaluate as E
+from tidemark.operators import trees
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 from tidemark.operators.cv import expanding_folds
 
@@ -22,11 +26,48 @@ GBT_DEFAULTS = {
 }
 
 
+#: Fits that run at the same time, and boosting rounds that may fail to better the validation error.
+SIDE_BY_SIDE, PATIENCE = 4, 50
+
+
+@contextmanager
+def cached(*tables: DataFrame):
+    """The tables kept by Spark while the block runs, and released at its end."""
+    kept = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in tables]
+    try:
+        yield kept if len(kept) > 1 else kept[0]
+    finally:
+        for t in kept:
+            t.unpersist()
+
+
+def side_by_side(work: Callable, items: list, workers: int = SIDE_BY_SIDE) -> list:
+    """`work(item)` of every item, a bounded number at a time, each in a scheduler pool of its own; results in order."""
+    context = SparkSession.getActiveSession().sparkContext
+
+    def one(numbered):
+        n, item = numbered
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{n % workers}")
+        return work(item)
+
+    with ThreadPool(workers) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.getActiveSession())(one), list(enumerate(items)), chunksize=1)
+
+
 def fit_gbt(
     train: DataFrame, features: list[str], label: str = "label", validation: DataFrame | None = None,
-    categorical: list[str] = (), max_iter: int = 200, **params,
+    categorical: list[str] = (), max_iter: int = 200, patience: int | None = None, **params,
 ) -> PipelineModel:
-    """Fit a boosted-tree regression; with a validation set boosting stops when it no longer helps."""
+    """Fit a boosted-tree regression; with a validation set boosting stops when it no longer helps.
+
+    With `patience` the validation error is followed round by round, and the ensemble is cut to its best round before
+    `patience` rounds in a row bettered nothing; without it Spark's own tolerance decides.
+    """
+    if validation is not None and patience is not None:
+        model = fit_gbt(train, features, label, None, categorical, max_iter, **params)
+        curve = validation_curve(model, validation, label)
+        rounds = trees.best_round([r.mse for r in curve.orderBy("round").collect()], patience)
+        return PipelineModel([*model.stages[:-1], trees.truncated(model.stages[-1], rounds)])
     numeric = [f for f in features if f not in categorical]
     # Rows with gaps do not train; at prediction a missing value takes the upper branch, so
     # every row gets a prediction.
@@ -41,6 +82,13 @@ def fit_gbt(
     return Pipeline(stages=[*stages, gbt]).fit(data)
 
 
+def validation_curve(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:
+    """`(round, mse)` of a fitted ensemble on the complete rows of `df`, after each of its rounds."""
+    names = trees.inputs(model)
+    indexed = PipelineModel(model.stages[:-2]).transform(df) if len(model.stages) > 2 else df
+    return trees.staged_errors(trees.NodeArrays.of(model.stages[-1], df.sparkSession), indexed, names, label)
+
+
 def predict_gbt(model: PipelineModel, df: DataFrame, name: str = "prediction") -> DataFrame:
     """Add the prediction, never below 0."""
     return model.transform(df).withColumn(name, F.greatest(F.col("_raw"), F.lit(0.0))).select(*df.columns, name)
@@ -61,31 +109,32 @@ def holdout(df: DataFrame, share: float = 0.2, ts: str = "ts") -> tuple[DataFram
     return df.where(at <= cut), df.where(at > cut)
 
 
+_SCORES = "MSE double, RMSE double, MAE double, MAPE double"
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str = "label", folds: int = 5, keys: list[str] = (), ts: str = "ts", width=None, **params) -> DataFrame:
-    """`(fold, MSE, RMSE, MAE, MAPE)` of expanding-window folds over one cached table."""
-    table = expanding_folds(df, folds, keys=keys, ts=ts, width=width).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = None
-    for k in range(1, folds + 1):
-        fold = table.where(F.col("fold") == k)
-        test = fold.where("role = 'test'")
-        one = predict_gbt(fit_gbt(fold.where("role = 'train'"), features, label, **params), test)
-        scored = one if scored is None else scored.unionByName(one)
-    return E.metrics(scored, label, "prediction", by=["fold"])
+    """`(fold, MSE, RMSE, MAE, MAPE)` of expanding-window folds; the fits run side by side over one cached table."""
+    with cached(expanding_folds(df, folds, keys=keys, ts=ts)) as table:
+        def score(k: int):
+            fold = table.where(F.col("fold") == k)
+            model = fit_gbt(fold.where("role = 'train'"), features, label, **params)
+            return (k, *E.metrics(predict_gbt(model, fold.where("role = 'test'")), label, "prediction").first())
+
+        return df.sparkSession.createDataFrame(side_by_side(score, list(range(1, folds + 1))), f"fold int, {_SCORES}")
 
 
 def grid_search(train: DataFrame, test: DataFrame, features: list[str], label: str = "label", grid: dict[str, list] | None = None, **params) -> DataFrame:
-    """Error metrics for every combination of two or more parameters, in long form."""
+    """Error metrics for every combination of two or more parameters, in long form; the fits run side by side."""
     grid = grid or {"maxDepth": [4, 5, 6], "stepSize": [0.01, 0.05, 0.1]}
-    train, test = train.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK)
     combos: list[dict] = [{}]
     for name, values in grid.items():
         combos = [{**c, name: v} for c in combos for v in values]
-    out = None
-    for c in combos:
-        one = E.metrics(predict_gbt(fit_gbt(train, features, label, **{**params, **c}), test), label, "prediction")
-        one = one.withColumns({n: F.lit(float(v)) for n, v in c.items()})
-        out = one if out is None else out.unionByName(one)
-    return out.select(*grid, "MSE", "RMSE", "MAE", "MAPE")
+    with cached(train, test) as (fit, hold):
+        def score(c: dict):
+            model = fit_gbt(fit, features, label, **{**params, **c})
+            return (*(float(c[n]) for n in grid), *E.metrics(predict_gbt(model, hold), label, "prediction").first())
+
+        return train.sparkSession.createDataFrame(side_by_side(score, combos), ", ".join([*(f"`{n}` double" for n in grid), _SCORES]))
 
 
 def grid_pivot(results: DataFrame, rows: str, columns: str, values: list[float], metric: str = "RMSE") -> DataFrame:

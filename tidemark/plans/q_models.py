@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tidemark.operators import boosting as B
@@ -9,6 +10,7 @@ from tidemark.operators import evaluate as E
 from tidemark.operators import features as X
 from tidemark.operators import isolation as I
 from tidemark.operators import series as S
+from tidemark.operators import trees as TR
 from tidemark.plans import training
 from tidemark.plans.inputs import (
     LOGS_SQL, OUTAGE, SERIES_DOUBLES, TEST_START, clf_lines, logs, series, series_ctes,
@@ -17,11 +19,13 @@ from tidemark.plans.q_capacity import CONFIG, _R
 from tidemark.plans.q_features import KEY, NAIVE_SQL, T, _all_sql, _CFG15, _CYCLES, _float_features, naive
 from tidemark.plans.q_series import _MULTI, _PARSE_SQL, _RECORD
 from tidemark.plans.registry import query
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, settled
 from tidemark.sources import tables
 from tidemark.streaming import traffic as ST
 
-_ITER = 10
+#: Boosting rounds of the queries that train for something else than the rounds; a round costs about half a second of
+#: scheduling however few the rows. `forecast_gbt` and `gbt_checks` train all 200 and choose among them.
+ROUNDS = 20
 
 
 def _clean(spark, sf_dir, freq="15min"):
@@ -29,14 +33,15 @@ def _clean(spark, sf_dir, freq="15min"):
 
 
 def _features(spark, sf_dir):
-    f = X.all_features(_clean(spark, sf_dir, "1h").drop("bytes_total"), T, "1h", KEY, removed=[OUTAGE])
+    f = X.all_features(_clean(spark, sf_dir).drop("bytes_total"), T, "15min", KEY)
     return f, X.feature_columns(f, keys=KEY)
 
 
 def _supervised(spark, sf_dir):
-    """One-step supervised rows of the hourly series."""
+    """One-step supervised rows of the 15-minute series; relative changes are left out, as most have no base on sparse series and rows would go with them."""
     f, names = _features(spark, sf_dir)
-    return X.supervised(f, T, names, 1, keys=KEY, width="1h", removed=[OUTAGE]), names
+    names = [c for c in names if "pct_change" not in c]
+    return X.supervised(f, T, names, 1, keys=KEY), names
 
 
 @query("anomaly_iforest")
@@ -45,50 +50,82 @@ def anomaly_iforest(spark, sf_dir):
     return I.detect_isolation_forest(s, T, keys=KEY, width="15min")
 
 
+def _early_stopped(sup, names):
+    """The test split and a model whose rounds end where the last part of the training split is met best."""
+    train, test = S.split_train_test(sup, TEST_START)
+    fit, valid = B.holdout(train)
+    return test, valid, B.fit_gbt(fit, [*names, "event_type"], validation=valid, categorical=["event_type"], patience=B.PATIENCE)
+
+
 @query("forecast_gbt")
 def forecast_gbt(spark, sf_dir):
     """One-step-ahead predictions on the test split, early stopping on the end of the training split."""
     sup, names = _supervised(spark, sf_dir)
-    train, test = S.split_train_test(sup.persist(), TEST_START)
+    sup = settled(sup, "supervised")
+    test, _, model = _early_stopped(sup, names)
+    return B.predict_gbt(model, test).select("event_type", "ts", F.col("label").alias("actual"), "prediction")
+
+
+@query("gbt_checks", "SELECT CAST(200 AS BIGINT) AS rounds, true AS kept_is_least, true AS curve_is_error, true AS walk_is_model FROM (SELECT count(*) AS n FROM events) AS e WHERE n > 0")
+def gbt_checks(spark, sf_dir):
+    """Of full rounds: the kept ones are the validation curve's least point, its value is the kept model's error, and a plain walk of the nodes predicts as the model does."""
+    sup, names = _supervised(spark, sf_dir)
+    train, _ = S.split_train_test(settled(sup, "supervised"), TEST_START)
     fit, valid = B.holdout(train)
-    return B.predict_gbt(B.fit_gbt(fit, [*names, "event_type"], validation=valid, categorical=["event_type"], max_iter=_ITER), test) \
-        .select("event_type", "ts", F.col("label").alias("actual"), "prediction")
+    model = B.fit_gbt(fit, names)
+    curve = B.validation_curve(model, valid)
+    errors = [r.mse for r in curve.orderBy("round").collect()]
+    kept = TR.best_round(errors, len(errors))
+    short = PipelineModel([*model.stages[:-1], TR.truncated(model.stages[-1], kept)])
+    both = TR.walk(TR.NodeArrays.of(short.stages[-1], spark), short.transform(valid).drop("_features"), names)
+    return both.agg(
+        F.lit(len(errors)).cast("bigint").alias("rounds"), F.lit(errors[kept - 1] == min(errors)).alias("kept_is_least"),
+        (F.abs(F.avg((F.col("_raw") - F.col("label")) ** 2) - errors[kept - 1]) < 1e-9 * (1 + errors[kept - 1])).alias("curve_is_error"),
+        (F.max(F.abs(F.col("walked") - F.col("_raw"))) < 1e-9).alias("walk_is_model"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     sup, names = _supervised(spark, sf_dir)
-    train, _ = S.split_train_test(sup, TEST_START)
-    return B.feature_importance(B.fit_gbt(train, names, max_iter=_ITER), 20)
+    train, _ = S.split_train_test(settled(sup, "supervised"), TEST_START)
+    return B.feature_importance(B.fit_gbt(train, names, max_iter=ROUNDS), 20)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf_dir):
     sup, names = _supervised(spark, sf_dir)
-    return E.cv_summary(B.cross_validate(sup, names, folds=3, keys=KEY, max_iter=5))
+    return E.cv_summary(B.cross_validate(sup, names, keys=KEY, max_iter=ROUNDS))
 
 
 @query("forecast_multi")
 def forecast_multi(spark, sf_dir):
     f, names = _features(spark, sf_dir)
     usable = [c for c in names if "pct_change" not in c]
-    return B.forecast_direct(f, T, usable, [1, 4, 24], KEY, width="1h", max_iter=_ITER)
+    return B.forecast_direct(settled(f, "features"), T, usable, [1, 4, 96], KEY, max_iter=ROUNDS)
+
+
+@query("forecast_recursive")
+def forecast_recursive(spark, sf_dir):
+    """The week after each series' end, 672 steps, every one from the ones before."""
+    f, names = _features(spark, sf_dir)
+    usable, f = [c for c in names if "pct_change" not in c], settled(f, "features")
+    model = B.fit_gbt(X.supervised(f, T, usable, 1, keys=KEY), usable, max_iter=ROUNDS)
+    return TR.forecast_recursive(model, f, T, 672, "15min", KEY)
 
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
     sup, names = _supervised(spark, sf_dir)
-    train, test = S.split_train_test(sup, TEST_START)
-    found = B.grid_search(train, test, names, grid={"maxDepth": [3, 4], "stepSize": [0.05, 0.1]}, max_iter=4)
-    return B.grid_pivot(found, "maxDepth", "stepSize", [0.05, 0.1])
+    train, test = S.split_train_test(settled(sup, "supervised"), TEST_START)
+    return B.grid_pivot(B.grid_search(train, test, names, max_iter=ROUNDS), "maxDepth", "stepSize", [0.01, 0.05, 0.1])
 
 
 @query("forecast_table")
 def forecast_table(spark, sf_dir):
-    clean = _clean(spark, sf_dir, "1h")
+    clean = settled(_clean(spark, sf_dir), "clean")
     out = None
     for m in ("seasonal", "fourier", "trees"):
-        one = training.forecast_table(clean, T, m, 48, KEY, "1h", removed=[OUTAGE], max_iter=5).withColumn("model", F.lit(m))
+        one = training.forecast_table(clean, T, m, 96, KEY, max_iter=ROUNDS).withColumn("model", F.lit(m))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -112,8 +149,11 @@ def ingest(spark, sf_dir):
 
 @query("train_evaluate")
 def train_evaluate(spark, sf_dir):
-    return training.train_and_evaluate(
-        _clean(spark, sf_dir, "1h"), test_start=TEST_START, keys=KEY, granularity="1h", removed=[OUTAGE], max_iter=5, horizon=48)
+    """Errors of all model families for both targets, and all models saved; the trend models' count comes from the saved ones."""
+    base = scratch_dir(spark, "models")
+    scored = training.train_and_evaluate(_clean(spark, sf_dir), test_start=TEST_START, keys=KEY, models=base, max_iter=ROUNDS)
+    saved = tables.load_coefficients(spark, f"{base}/{T}/seasonal").agg(F.count("coef").alias("saved_models"))
+    return scored.withColumn("saved_models", saved.scalar())
 
 
 @query("series_sink", f"SELECT * FROM ({_MULTI}) WHERE granularity = '15min'", doubles=SERIES_DOUBLES)
@@ -148,7 +188,7 @@ def model_roundtrip(spark, sf_dir):
     sup, names = _supervised(spark, sf_dir)
     train, test = S.split_train_test(sup, TEST_START)
     path = scratch_dir(spark, "model")
-    tables.save_model(B.fit_gbt(train, names, max_iter=3), path)
+    tables.save_model(B.fit_gbt(settled(train, "train"), names, max_iter=ROUNDS), path)
     return B.predict_gbt(tables.load_model(path), test).select("event_type", "ts", "prediction")
 
 

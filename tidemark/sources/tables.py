@@ -58,3 +58,8 @@ def load_model(path: str) -> PipelineModel:
 def save_coefficients(models: DataFrame, path: str) -> None:
     """Write per-series regression models; they are plain rows."""
     models.write.mode("overwrite").parquet(path)
+
+
+def load_coefficients(spark: SparkSession, path: str) -> DataFrame:
+    """Per-series regression models as they were saved."""
+    return spark.read.parquet(path)
