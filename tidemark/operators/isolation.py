@@ -8,11 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.stats import attach, exact_quantiles
 from tidemark.functions.timebins import seconds_of
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
+from tidemark.session import settled
 from tidemark.operators.regress import _key_fields, python_partitions
 
 # Trees, expected share of outliers, rows per tree, seed.
@@ -141,13 +141,13 @@ def detect_isolation_forest(
 ) -> DataFrame:
     """Add `anomaly_score` and `is_isolation_forest`: the `contamination` share scoring worst per key.
 
-    The first rows of a series lack features and are never flagged. Trees and scores are
-    used twice and therefore persisted; `unpersist` the result's session cache when done.
+    The first rows of a series lack features and are never flagged. Rows, trees and scores are used twice and therefore
+    written once to the shared folder; nothing stays cached.
     """
     keys = list(keys)
     rows = traffic_features(series, value, keys, ts, width, removed, block_rows)
-    forest = fit_forest(rows, keys, ts, trees, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = score_forest(rows, forest, keys, ts).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = settled(rows, "forest-rows")
+    scored = settled(score_forest(rows, settled(fit_forest(rows, keys, ts, trees, seed), "forest"), keys, ts), "forest-scores")
     # Scores are nearly all distinct, so one buffer per key would hold a whole series.
     cut = exact_quantiles(scored, "anomaly_score", {"_cut": 1 - contamination}, keys)
     return attach(scored, cut, keys).withColumn(

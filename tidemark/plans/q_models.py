@@ -57,6 +57,15 @@ def _early_stopped(sup, names):
     return test, valid, B.fit_gbt(fit, [*names, "event_type"], validation=valid, categorical=["event_type"], patience=B.PATIENCE)
 
 
+@query("anomaly_iforest_report", f"WITH {series_ctes('15min')} SELECT event_type, count(*) AS series_rows, true AS within_share FROM series GROUP BY ALL")
+def anomaly_iforest_report(spark, sf_dir):
+    """Rows of every series, and whether no more than the asked share of those with features is flagged."""
+    s = series(spark, sf_dir).select("event_type", "ts", T)
+    flagged = I.detect_isolation_forest(s, T, keys=KEY, width="15min")
+    found = I.isolation_report(flagged, KEY).select("event_type", (F.col("anomaly_count") <= F.ceil(F.col("records") * I.CONTAMINATION) + 1).alias("within_share"))
+    return flagged.groupBy(*KEY).agg(F.count("*").alias("series_rows")).join(found, KEY)
+
+
 @query("forecast_gbt")
 def forecast_gbt(spark, sf_dir):
     """One-step-ahead predictions on the test split, early stopping on the end of the training split."""

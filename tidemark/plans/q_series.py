@@ -39,6 +39,15 @@ def clf_parse(spark, sf_dir):
     return clf.records(clf.parse(clf_lines(spark, sf_dir)), "event_id")
 
 
+@query("quick_parse", f"""SELECT {_RECORD} FROM ({_PARSE_SQL}) AS p JOIN (SELECT event_id, row_number() OVER (ORDER BY event_id) AS n FROM events) AS e USING (event_id)
+WHERE n <= 1000 AND "timestamp" IS NOT NULL""")
+def quick_parse(spark, sf_dir):
+    """The records among the first thousand lines of a log file: a look at its format."""
+    path = scratch_dir(spark, "quick")
+    clf_lines(spark, sf_dir).orderBy("event_id").coalesce(1).select("line").write.text(path)
+    return clf.quick_parse(spark, path)
+
+
 @query("clf_scan", f'SELECT {_RECORD} FROM ({_PARSE_SQL}) AS p WHERE "timestamp" IS NOT NULL')
 def clf_scan(spark, sf_dir):
     """Write the lines as text files and read them back through the text source."""
@@ -158,6 +167,16 @@ def rollup_1h(spark, sf_dir):
     return S.rollup(series(spark, sf_dir), "1h", ["event_type"])
 
 
+@query("hosts_by_sketch", f"""WITH logs AS ({LOGS_SQL})
+SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS ts, count(DISTINCT host) AS exact_hosts, true AS within_3_percent FROM logs GROUP BY ALL""")
+def hosts_by_sketch(spark, sf_dir):
+    """Hourly hosts merged from one-minute sketches, held against the exact counts."""
+    base, key = logs(spark, sf_dir), ["event_type"]
+    merged = S.rollup_hosts(S.host_sketches(base, "1min", key), "1h", key)
+    exact = S.traffic_series(base, "1h", key, fill_gaps=False, outages=None).select(*key, "ts", F.col("unique_hosts").alias("exact_hosts"))
+    return exact.join(merged, [*key, "ts"]).select(*key, "ts", "exact_hosts", (F.abs(F.col("unique_hosts") - F.col("exact_hosts")) <= 0.03 * F.col("exact_hosts")).alias("within_3_percent"))
+
+
 _OUTAGES = """
   SELECT time_bucket(INTERVAL '1 day', ts) + INTERVAL '3 hours' AS outage_start,
     time_bucket(INTERVAL '1 day', ts) + INTERVAL '3 hours' + INTERVAL '45 minutes' AS outage_end
