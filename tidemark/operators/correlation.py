@@ -47,8 +47,8 @@ def autocovariance(
 ) -> DataFrame:
     """`(keys, lag, c, n)`: sums of lagged products around the series mean, over n, for lags 0..K.
 
-    Each block of rows, with the K rows before it, gives its share of all K+1 sums at
-    once; the shares are added up per key and lag.
+    Each block of rows, with the K rows before it, gives its share of all K+1 sums from one
+    product of spectra, so its cost grows with log K; the shares are added up per key and lag.
     """
     keys = list(keys)
     data = series.where(F.col(value).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias("_x"))
@@ -59,11 +59,10 @@ def autocovariance(
     def share(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pos")
         d, own = pdf["_d"].to_numpy(), pdf["_own"].to_numpy()
-        first = int(own.argmax()) if own.any() else len(d)
-        sums = []
-        for k in range(lags + 1):
-            lo = max(first, k)
-            sums.append(float(d[lo:] @ d[lo - k: len(d) - k]) if lo < len(d) else 0.0)
+        # Padded by the reach, so that no lag wraps around.
+        size = 1 << int(len(d) + lags).bit_length()
+        spectrum = np.fft.rfft(np.where(own, d, 0.0), size) * np.conj(np.fft.rfft(d, size))
+        sums = np.fft.irfft(spectrum, size)[: lags + 1]
         out = pd.DataFrame({"lag": np.arange(lags + 1, dtype="int32"), "_s": sums, "n": pdf["n"].iloc[0]})
         for c in keys:
             out[c] = pdf[c].iloc[0]

@@ -11,7 +11,7 @@ from tidemark.operators import evaluate as E
 from tidemark.operators import fourier as Q
 from tidemark.operators import regress
 from tidemark.operators import seasonal as A
-from tidemark.operators.cv import rolling_cutoffs, with_cutoffs
+from tidemark.operators.cv import cutoff_products, cutoff_scores, rolling_cutoffs, with_cutoffs
 from tidemark.operators.series import drop_outages, split_train_test
 from tidemark.plans.inputs import OUTAGE, TEST_START, series, series_ctes
 from tidemark.plans.registry import query
@@ -92,6 +92,45 @@ def sar_diagnostics(spark, sf_dir):
     return E.residual_diagnostics(fitted, "residual", len(_LAGS) + 1, KEY)
 
 
+_CUT_LAGS = A.lag_set(2, 1, 96)
+_CUT_SPAN = dict(initial_days=14, period_days=4, horizon_days=6)
+_CUTS_SQL = f"""{SAR_SQL},
+span AS (SELECT event_type, CAST(epoch(min(ts)) AS BIGINT) AS lo, CAST(epoch(max(ts)) AS BIGINT) - {6 * 86400} AS hi FROM frame GROUP BY event_type),
+cuts AS (SELECT event_type, make_timestamp(c * 1000000) AS cutoff
+  FROM (SELECT event_type, unnest(generate_series(hi - ((hi - lo - {14 * 86400}) // {4 * 86400}) * {4 * 86400}, hi, {4 * 86400})) AS c FROM span WHERE hi >= lo + {14 * 86400}) AS u)"""
+
+
+def _cut_frame(spark, sf_dir):
+    return A.lagged_frame(_series(spark, sf_dir), T, _CUT_LAGS, 1, KEY, width="15min"), [f"w_{k}" for k in _CUT_LAGS]
+
+
+@query("cv_normal_eq", f"""WITH {_CUTS_SQL},
+z AS MATERIALIZED (SELECT event_type, ts, [{', '.join(_COLS)}] AS z FROM complete)
+SELECT z.event_type, cutoff, CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j,
+  coalesce(sum(z[a.i + 1] * z[b.j + 1]) FILTER (WHERE ts <= cutoff), 0) AS train, coalesce(sum(z[a.i + 1] * z[b.j + 1]) FILTER (WHERE ts > cutoff), 0) AS test
+FROM z JOIN cuts c ON z.event_type = c.event_type AND z.ts <= c.cutoff + INTERVAL '6 days', range({len(_COLS)}) a(i), range({len(_COLS)}) b(j)
+WHERE a.i <= b.j GROUP BY ALL""", doubles="train test")
+def cv_normal_eq(spark, sf_dir):
+    """The systems of the seasonal autoregression at every cut-off, training and test rows."""
+    frame, names = _cut_frame(spark, sf_dir)
+    return cutoff_products(frame, names, "w", keys=KEY, **_CUT_SPAN)
+
+
+@query("cv_sar_scores")
+def cv_sar_scores(spark, sf_dir):
+    """One-step errors of the seasonal autoregression after every cut-off."""
+    frame, names = _cut_frame(spark, sf_dir)
+    return cutoff_scores(frame, names, "w", keys=KEY, **_CUT_SPAN)
+
+
+@query("cv_sar_optimality", f"""WITH {_CUTS_SQL}
+SELECT c.event_type, cutoff, CAST(count(*) FILTER (WHERE ts <= cutoff) AS DOUBLE) AS n_train, CAST(count(*) FILTER (WHERE ts > cutoff) AS DOUBLE) AS n_test, CAST(0 AS DOUBLE) AS gradient
+FROM complete z JOIN cuts c ON z.event_type = c.event_type AND z.ts <= c.cutoff + INTERVAL '6 days' GROUP BY ALL""", doubles="gradient")
+def cv_sar_optimality(spark, sf_dir):
+    """Rows of every cut-off, and how far its fit is from solving the normal equations."""
+    return cv_sar_scores(spark, sf_dir).select(*KEY, "cutoff", "n_train", "n_test", "gradient")
+
+
 @query("adf_stat")
 def adf_stat(spark, sf_dir):
     return A.check_stationarity(_series(spark, sf_dir), T, 24, keys=KEY, width="15min")

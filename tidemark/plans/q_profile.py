@@ -177,6 +177,16 @@ def acf(spark, sf_dir):
     return R.acf(S.drop_outages(series(spark, sf_dir)), "request_count", 100, ["event_type"], width="15min", removed=[OUTAGE])
 
 
+@query("acf_1min", f"""
+WITH {series_ctes('1min', keys=())},
+d AS MATERIALIZED (SELECT row_number() OVER (ORDER BY ts) AS n, request_count - avg(request_count) OVER () AS x FROM series),
+cov AS (SELECT CAST(g.lag AS INTEGER) AS lag, sum(a.x * b.x) AS s FROM d a CROSS JOIN range(1441) g(lag) JOIN d b ON b.n = a.n - g.lag GROUP BY ALL)
+SELECT c.lag, c.s / z.s AS acf FROM cov c JOIN cov z ON z.lag = 0""", doubles="acf")
+def acf_1min(spark, sf_dir):
+    """Autocorrelation of the whole traffic at every minute of a day."""
+    return R.acf(series(spark, sf_dir, "1min", ()), "request_count", 1440, width="1min")
+
+
 # Levinson-Durbin as a recursion over lags: `phi` holds the coefficients of one order.
 @query("pacf", f"""
 WITH RECURSIVE {_acf_ctes(60)},

@@ -12,7 +12,7 @@ from tidemark.plans.inputs import (
 )
 from tidemark.plans.registry import query, table
 from tidemark.session import scratch_dir
-from tidemark.sources import clf
+from tidemark.sources import clf, daily
 
 # The oracle parses the text on its own, with DuckDB's regular expressions.
 _GAP = r"[ \t]+"
@@ -167,6 +167,20 @@ def rollup_1h(spark, sf_dir):
     return S.rollup(series(spark, sf_dir), "1h", ["event_type"])
 
 
+@query("incremental_ingest", f"""
+WITH {series_ctes('15min')} SELECT event_type, ts, request_count, bytes_total, bytes_std, success_count, error_count, unique_hosts, error_rate, is_storm_period FROM series""",
+       doubles="bytes_std error_rate")
+def incremental_ingest(spark, sf_dir):
+    """The log ingested in two parts that share a day, the second part twice, and the series read from its days."""
+    base, key = logs(spark, sf_dir), ["event_type"]
+    store, path = scratch_dir(spark, "log-store"), scratch_dir(spark, "daily-series")
+    early = F.col("timestamp") < F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    for batch, part in (("a", base.where(early)), ("b", base.where(~early)), ("b", base.where(~early))):
+        daily.ingest_batch(part, batch, store, path, ("15min", "1h"), key)
+    return daily.load_days(spark, path, "15min", key, outages=[OUTAGE]).select(
+        *key, "ts", "request_count", "bytes_total", "bytes_std", "success_count", "error_count", "unique_hosts", "error_rate", "is_storm_period")
+
+
 @query("hosts_by_sketch", f"""WITH logs AS ({LOGS_SQL})
 SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS ts, count(DISTINCT host) AS exact_hosts, true AS within_3_percent FROM logs GROUP BY ALL""")
 def hosts_by_sketch(spark, sf_dir):
