@@ -26,7 +26,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked."""
-    return secrets.redact(docs)
+    return secrets.redact(docs, words=secrets.vocabulary_words(tokenizer_file("word_bpe_49k.json")))
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import hashlib
+import math
 import re
 from itertools import product
 
+import public_tokenizers
 import pytest
 
 from tidemark.llm import secrets
@@ -32,28 +34,70 @@ def test_base_spans(spark):
         assert [x for x in r.spans.split(",") if x and not x.startswith("guess")] == want
 
 
-@pytest.mark.parametrize("value", ["password1", "aaaa2019", "qwerty!x", "Xk9", "summerZ19", "asdfasdf", "", "iİloveß"])
+NEAR = {  # the keys that touch each key, read off a keyboard
+    "1": "2q", "2": "13qw", "3": "24we", "4": "35er", "a": "qwsz", "s": "awedxz", "d": "serfcx", "f": "drtgvc", "q": "12wa", "w": "23qeas", "e": "34wrsd",
+    "r": "45etdf", "z": "asx", "x": "zsdc", "c": "xdfv"}
+ROWS = "1234567890 qwertyuiop asdfghjkl zxcvbnm".split()
+
+
+def way(a, b):
+    """Up, down or level, and whether to the right; on slanted rows the key below lies right of the one in the same column."""
+    (r, c), (s, d) = (next((k, row.index(x)) for k, row in enumerate(ROWS) if x in row) for x in (a, b))
+    return s - r, d > c or (d == c and s > r)
+
+
+def piece(value, a, b, ranks):
+    """The least cost of value[a:b] as one span that isn't brute force, by the definitions."""
+    part, low = value[a:b], value.lower()[a:b]
+    costs = [float("inf")]
+    for form in {low, low.replace("@", "a").replace("0", "o").replace("1", "i").replace("$", "s").replace("3", "e")}:
+        if form in ranks and any(c.isalpha() for c in low):
+            case = 0 if part == low else 0.31 if part == part.upper() or part == part[0].upper() + low[1:] else 1
+            costs.append(math.log10(ranks[form]) + case + (0.3 if form == low else 0.9))
+    if re.fullmatch("(19|20)[0-9][0-9]", part):
+        costs.append(2.1)
+    if len(low) >= 3:
+        if low in "abcdefghijklmnopqrstuvwxyz" or low[::-1] in "abcdefghijklmnopqrstuvwxyz" or low in "0123456789" or low[::-1] in "0123456789":
+            costs.append(1.7)
+        if all(y in NEAR.get(x, "") for x, y in zip(low, low[1:])):
+            ways = [way(x, y) for x, y in zip(low, low[1:])]
+            costs.append(1.9 + 0.8 * sum(x != y for x, y in zip(ways, ways[1:])))
+    for unit in range(1, a + 1):
+        if all(value[k].lower() == value[k - unit].lower() for k in range(a, b)):
+            costs.append(1.7 + math.log10(unit))
+    return min(costs)
+
+
+@pytest.mark.parametrize("value", ["password1", "aaaa2019", "qwertdcx", "qazwsxedc", "Xk9", "summerZ19", "asdfasdf", "", "P@ssw0rd12", "dcbabcd321", "asasas12", "2019201920", "XyzXyzXyz"])
 def test_least_cost_over_all_cuts(value):
     model = secrets.GuessCost()
-    spans = {}
-    for i, j, cost, _ in model.spans(value):
-        spans[i, j] = min(cost, spans.get((i, j), cost))
-    each = secrets._spread(value) if value else 0.0
+    ranks = {w: n + 1 for n, w in reversed(list(enumerate(secrets.WORDS)))}
+    each = math.log10(max(10, 26 * any(c.islower() for c in value) + 26 * any(c.isupper() for c in value) + 10 * any(c.isdigit() for c in value) + 10 * any(not c.isalnum() for c in value)))
     best = float("inf")
     for cuts in product([0, 1], repeat=max(0, len(value) - 1)):
         at = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(value)]
-        best = min(best, sum(min(spans.get((a, b), float("inf")), (b - a) * each) for a, b in zip(at, at[1:])))
+        best = min(best, sum(min(piece(value, a, b, ranks), (b - a) * each) for a, b in zip(at, at[1:]) if b > a))
     got, cut = model.segment(value)
     assert got == pytest.approx(best if value else 0.0)
     assert "".join(value[a:b] for a, b, _ in cut) == value
 
 
 def test_guesses_tell_words_from_keys():
+    models = secrets.GuessCost(), secrets.GuessCost(secrets.vocabulary_words(str(public_tokenizers.path("word_bpe_49k.json"))))
+    assert models[1].rank["horse"] > len(set(secrets.WORDS)) - 1 and models[1].rank["password"] == 1
+    for model in models:
+        for weak in ("password123", "a" * 500, "qwertyuiop", "your-token-here", "changeme2024-01-31", "P@ssw0rd123!", "correcthorsebatterystaple", "iloveyouforever",
+                     "zyxwvutsrqpo", "qazwsxedc", "michaeljordan23", "asdf" * 60, "abcabcabcabc"):
+            assert model.segment(weak)[0] < secrets.LEAST_GUESSES, weak
+        for strong in ("9b0b3c6a43eb78aa99cb", "Tr0ub4dor&3xQz!9", "x8Kd02LmQpZ7", "kXq92mPfLz81"):
+            assert model.segment(strong)[0] >= secrets.LEAST_GUESSES, strong
+
+
+def test_any_value_is_cut_without_failing():
     model = secrets.GuessCost()
-    for weak in ("password123", "aaaaaaaaaaaaaaaa", "qwertyuiop", "your-token-here", "changeme2024-01-31"):
-        assert model.segment(weak)[0] < secrets.LEAST_GUESSES
-    for strong in ("9b0b3c6a43eb78aa99cb", "Tr0ub4dor&3xQz!9", "x8Kd02LmQpZ7"):
-        assert model.segment(strong)[0] >= secrets.LEAST_GUESSES
+    for value in ("iİloveß", "ſecretſ", "é" * 40, "1" * 5000, "aA1!" * 2000):
+        cost, cut = model.segment(value)
+        assert 0 < cost < float("inf") and "".join(value[a:b] for a, b, _ in cut) == value
 
 
 def test_redact_masks_all_spans(spark, odd, odd_rows, nothing):
