@@ -121,3 +121,14 @@ def test_feature_column_selection(spark, sf_dir):
 def test_inputs_are_checked(spark):
     with pytest.raises(ValueError):
         S.traffic_series(spark.range(1), "15min")
+
+
+def test_summary_counts_missing_sizes_and_nothing(spark):
+    rows = [("a", 200, 10, "1995-07-01 00:00:00"), ("a", 200, 10, "1995-07-01 00:10:00"), ("b", 304, None, "1995-07-02 00:00:00"), (None, 404, 40, "1995-07-04 01:00:00"),
+            ("b", 503, 30, "1995-07-03 00:00:00"), ("c", None, None, "1995-07-03 00:00:00")]
+    logs = spark.createDataFrame(rows, "host string, status_code int, bytes bigint, t string").withColumn("timestamp", F.to_timestamp_ntz("t")).drop("t")
+    r = S.data_summary(logs).first()
+    assert (r.total_records, r.success_2xx, r.redirect_3xx, r.client_error_4xx, r.server_error_5xx) == (6, 2, 1, 1, 1)
+    assert (r.bytes_total, r.bytes_mean, r.bytes_median, r.bytes_max, r.unique_hosts, r.duration_days) == (90, 22.5, 20.0, 40, 3, 3)
+    e = S.data_summary(logs.limit(0)).first()
+    assert (e.total_records, e.success_2xx, e.unique_hosts, e.bytes_total, e.bytes_mean, e.bytes_median, e.start) == (0, 0, 0, None, None, None, None)

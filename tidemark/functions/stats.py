@@ -25,7 +25,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], keys: list[str] = (), pieces: int = 256
+    df: DataFrame, value: str, probs: dict[str, float], keys: list[str] = (), pieces: int = 256, weight: str | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, with no group gathered in one task.
 
@@ -33,12 +33,13 @@ def exact_quantiles(
     outgrow. Here equal values are counted first, the distinct values are cut into `pieces`
     ranges by an approximate sketch (the cut points only balance the work), ranks are
     prefix sums per range plus a prefix sum over the ranges, and the values at the two
-    neighbouring ranks of each probability are picked out. One output row per key.
+    neighbouring ranks of each probability are picked out. One output row per key. A row
+    counts as often as its `weight` says, once without.
     """
     keys = list(keys)
     counts = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     )
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / pieces for i in range(1, pieces)], 4 * pieces).alias("_cuts"))

@@ -12,6 +12,7 @@ from tidemark.operators.blocks import with_successor
 from tidemark.schemas import (
     GRANULARITIES, OUTAGE, OUTAGE_COLUMN, SAVED_GRANULARITIES, TEST_START, require_columns, require_timestamp,
 )
+from tidemark.session import settled
 
 _ZERO_FILLED = ("request_count", "bytes_total", "bytes_std", "success_count", "error_count",
                 "server_error_count", "unique_hosts", "error_rate", "avg_request_size")
@@ -177,19 +178,24 @@ def rollup_hosts(sketches: DataFrame, freq: str | int = "1h", keys: list[str] =
 
 
 def data_summary(logs: DataFrame, ts: str = "timestamp", outage=OUTAGE) -> DataFrame:
-    """One row: record counts per status class, byte statistics, span, hosts, outage hours."""
-    between = lambda lo, hi: F.count_if(F.col("status_code").between(lo, hi))
-    base = logs.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.min(ts).alias("start"), F.max(ts).alias("end"),
-        between(200, 299).alias("success_2xx"), between(300, 399).alias("redirect_3xx"),
-        between(400, 499).alias("client_error_4xx"), between(500, 599).alias("server_error_5xx"),
-        F.sum("bytes").alias("bytes_total"), F.avg("bytes").alias("bytes_mean"), F.max("bytes").alias("bytes_max"),
+    """One row: record counts per status class, byte statistics, span, hosts, outage hours.
+
+    The log is scanned once, into counts of each host's byte values; those are saved, as the median reads them as well.
+    """
+    classes = {"success_2xx": 2, "redirect_3xx": 3, "client_error_4xx": 4, "server_error_5xx": 5}
+    counted = settled(logs.groupBy("host", "bytes").agg(
+        F.count(F.lit(1)).alias("total_records"), F.min(ts).alias("start"), F.max(ts).alias("end"),
+        *[F.count_if(F.col("status_code").between(100 * c, 100 * c + 99)).alias(n) for n, c in classes.items()]), "summary")
+    base = counted.agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("total_records", *classes)],
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.sum(F.col("bytes") * F.col("total_records")).alias("bytes_total"),
+        F.sum(F.when(F.col("bytes").isNotNull(), F.col("total_records"))).alias("_sized"), F.max("bytes").alias("bytes_max"),
         F.countDistinct("host").alias("unique_hosts"),
-    )
+    ).withColumn("bytes_mean", F.try_divide(F.col("bytes_total").cast("double"), F.col("_sized").cast("double"))).drop("_sized")
     base = base.withColumn(
         "duration_days", F.floor((seconds_of("end") - seconds_of("start")) / F.lit(86400)).cast("bigint"))
-    median = exact_quantiles(logs, "bytes", {"bytes_median": 0.5})
+    median = exact_quantiles(counted, "bytes", {"bytes_median": 0.5}, weight="total_records")
     hours = (seconds_of(ntz(outage[1])) - seconds_of(ntz(outage[0]))) / F.lit(3600.0)
     return attach(base, median, []).withColumn("outage_hours", hours)
 
