@@ -38,6 +38,15 @@ def test_fewer_than_k_and_none(spark):
     assert top_k.report(vectors.limit(0)).count() == 0
 
 
+def test_sums_beyond_64_bits_are_refused(spark):
+    for great in (1e17, 4e6):
+        vectors = spark.createDataFrame([(0, [great, 1.0]), (1, [great, 1.0])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="64 bits"):
+            top_k.report(vectors).collect()
+    vectors = spark.createDataFrame([(0, [1e6, 1.0]), (1, [1e6, 1.0])], "vec_id bigint, embedding array<double>")
+    assert [r.score for r in top_k.report(vectors).collect()] == [1024**2 * (10**12 + 1)]
+
+
 def test_stops_before_the_end():
     rng = np.random.default_rng(1)
     vectors = (rng.normal(size=(4000, 3)) * 1000).astype(np.int64)

@@ -38,6 +38,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _reach(x: np.ndarray) -> int:
+    return max(int(x.max()), -int(x.min()))
+
+
 class SortedLists:
     """A block of candidates with its per-dimension lists."""
 
@@ -87,8 +91,11 @@ def _search(k: int):
             rows, asks = a.column("v").combine_chunks(), b.column("v").combine_chunks()
             width = max(int(np.diff(x.offsets.to_numpy()).max()) for x in (rows, asks))
             lists = SortedLists(a.column("id").to_numpy(), _matrix(rows, width))
+            queries = _matrix(asks, width)
+            if width * _reach(lists.vectors) * _reach(queries) >= 1 << 63:
+                raise OverflowError("inner products of these vectors may exceed 64 bits")
             out = [[], [], []]
-            for query_id, query in zip(b.column("id").to_pylist(), _matrix(asks, width)):
+            for query_id, query in zip(b.column("id").to_pylist(), queries):
                 ids, scores, _ = lists.best(query_id, query, k)
                 out[0].append(np.full(len(ids), query_id)), out[1].append(ids), out[2].append(scores)
             return pa.table([pa.array(np.concatenate(x), pa.int64()) for x in out], schema=kind)
@@ -100,8 +107,8 @@ def _search(k: int):
 def search(candidates: DataFrame, queries: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of every query's k highest inner products among the other ids; both inputs (id, v).
 
-    Shorter vectors count as padded with zeros; ties go to the smaller id. Fewer than k candidates give fewer rows. Sums
-    must fit 64 bits. Candidates x queries is the work that is asked for; it is dealt in blocks of `block_rows` each.
+    Shorter vectors count as padded with zeros; ties go to the smaller id. Fewer than k candidates give fewer rows. Blocks
+    whose greatest components could take a sum beyond 64 bits raise an OverflowError. Candidates x queries is the work that is asked for; it is dealt in blocks of `block_rows` each.
     """
     n_blocks = -(-candidates.count() // block_rows)
     q_blocks = -(-queries.count() // block_rows)
