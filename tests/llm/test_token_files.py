@@ -51,14 +51,30 @@ def test_round_trip(spark, tokenizer, odd_rows, shard_ids):
     token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), folder, PATH, shard_ids=shard_ids)
     got = token_files.read(spark, folder).drop("ordinal").collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want(tokenizer, rows)
+    token_files.write_directory(spark, folder)
     found = {r.doc_id: r.ids for r in token_files.fetch(spark, folder, [100, 1, 999]).collect()}
     assert found == {100: ids_of(tokenizer, TRICKY[0]), 1: ids_of(tokenizer, odd_rows[0][1])}
 
 
+def test_fetch_opens_only_shards_that_can_hold_the_key(spark, tokenizer):
+    folder = scratch_dir(spark, "shards")
+    docs = spark.createDataFrame([(i, f"text number {i} " * 5) for i in range(300)] + [(None, "no id")], "doc_id bigint, text string")
+    token_files.write(docs, folder, PATH, shard_ids=100)
+    token_files.write_directory(spark, folder)
+    shards = spark.read.parquet(f"{folder}/_directory").count()
+    one = token_files.fetch(spark, folder, [77, 77])
+    assert shards > 30 and len(one.inputFiles()) == 1
+    assert [tuple(r) for r in one.collect()] == [(77, ids_of(tokenizer, "text number 77 " * 5))]
+    assert token_files.fetch(spark, folder, [1000]).count() == 0 and token_files.fetch(spark, folder, []).count() == 0
+    assert token_files.read(spark, folder).count() == 301
+
+
 def test_empty_table(spark, nothing):
     folder = scratch_dir(spark, "shards")
     token_files.write(nothing, folder, PATH)
     assert token_files.read(spark, folder).count() == 0
+    token_files.write_directory(spark, folder)
+    assert token_files.fetch(spark, folder, [1]).count() == 0
 
 
 def test_perfect_hash_is_minimal():

@@ -296,6 +296,26 @@ def _ids(wanted: list[int]):
     return lookup
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        known = [shard.keys[shard.nulls == 0] for shard in _each(batch.column("content"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("path"), *(pa.array([int(pick(k)) if len(k) else None for k in known], pa.int64()) for pick in (np.min, np.max))], ["path", "first", "last"])
+
+
+def write_directory(spark: SparkSession, folder: str) -> None:
+    """Write beside the shards which file holds which range of doc_ids, for `fetch`; reads every shard once. Null ids are in no range."""
+    read_blobs(spark, folder).mapInArrow(_ranges, "path string, first bigint, last bigint").write.mode("overwrite").parquet(f"{folder}/_directory")
+
+
 def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
-    """doc_id and ids of the given documents (the first row of a repeated id), looked up in every shard's index."""
-    return read_blobs(spark, folder).mapInArrow(_ids(list(doc_ids)), "doc_id bigint, ids array<int>")
+    """doc_id and ids of the given documents (the first row of a repeated id), looked up in the index of the shards that can hold them.
+
+    Needs the directory of `write_directory`; of it, only the paths of those shards come to the driver. Unknown ids give no row.
+    """
+    asked = sorted(set(doc_ids))
+    holds = F.exists(F.lit(asked).cast("array<bigint>"), lambda k: k.between(F.col("first"), F.col("last")))
+    paths = [r.path for r in spark.read.parquet(f"{folder}/_directory").where(holds).select("path").collect()] if asked else []
+    if not paths:
+        return spark.createDataFrame([], "doc_id bigint, ids array<int>")
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_ids(asked), "doc_id bigint, ids array<int>")
