@@ -6,8 +6,8 @@ the necessary prefix: only documents that hold it can hold the window. A shingle
 out. Candidates join on the prefix shingle; its place in the window fixes where the window would start, which must lie in
 the document with room for all its words; then every word is compared.
 
-Items travel to the tasks in blocks of bounded size, one pass over the batches for each block, so the benchmark may
-be of any length. Documents are never shuffled.
+Items are drawn and travel to the tasks in blocks of bounded size, one pass over the documents for each block, whose result
+is saved before the next block is drawn; so the benchmark may be of any length. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.files import settled
 from tidemark.llm.texts import LOWER, row_counts, runs_of, steps, word_table
 
 SHINGLE_WORDS = 3
@@ -180,6 +181,11 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]
         yield held
 
 
+def _nonempty(blocks: Iterator[list[tuple[str, str]]]) -> Iterator[list[tuple[str, str]]]:
+    yield next(blocks, [])
+    yield from blocks
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents with `hits` (runs of word numbers [first, last) covered by item windows), `items` and `n_words`.
 
@@ -190,7 +196,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     names = out.columns
     text = docs.select("text")
     first = True
-    for items in [*_blocks(benchmark, block_words)] or [[]]:
+    # A benchmark without items still makes one, empty, pass.
+    for items in _nonempty(_blocks(benchmark, block_words)):
+        if not first:  # what earlier blocks found is saved, so that neither the plan nor the driver holds more than one block
+            out = settled(out, "item-hits")
         block = _Block(items, window)
         wanted = block.shingles()
         if wanted:
