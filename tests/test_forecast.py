@@ -333,6 +333,30 @@ def test_walk_equals_the_model(spark, grown):
     assert len(nodes.roots) == 12 and (nodes.feature >= 0).any()
 
 
+def test_walk_with_splits_on_categories(spark):
+    from pyspark.ml import PipelineModel
+
+    rng, kinds = np.random.default_rng(3), np.array(list("abcdefg"))
+    pdf = pd.DataFrame({"x": rng.normal(size=900), "c": rng.choice(kinds, 900), "d": rng.choice(["u", "v", None], 900), "ts": pd.date_range("2024-01-01", periods=900, freq="h")})
+    pdf["label"] = pdf.c.map(dict(zip(kinds, [9, 1, 7, 3, 30, 2, 8]))) + np.where(pdf.x > 0, 5.0, 0) + (pdf.d == "u") * 4 + rng.normal(0, 0.5, 900)
+    df = make(spark, [pdf])
+    fit, valid = B.holdout(df)
+    model = B.fit_gbt(fit.where("c <> 'g'"), ["x", "c", "d"], validation=valid, categorical=["c", "d"], max_iter=10, patience=10, stepSize=0.3)
+    nodes = trees.NodeArrays.of(model.stages[-1], spark)
+    assert (nodes.subset >= 0).any() and (nodes.subset[nodes.feature < 0] < 0).all()
+    indexed = PipelineModel(model.stages[:-2]).transform(B.predict_gbt(model, df, "p"))
+    both = trees.walk(nodes, indexed, trees.inputs(model)).select("c", "p", "walked").toPandas()
+    assert set(both.c) == set(kinds)
+    np.testing.assert_allclose(both.walked.clip(lower=0), both.p, rtol=1e-12)
+    # Values that are no category go as in the model, too.
+    odd = spark.createDataFrame([(0.1 * k, float(c), 0.0) for k in range(-2, 3) for c in (0, 5, 6, 7, 99, float("nan"))], ["x", "_i_c", "_i_d"])
+    both = trees.walk(nodes, PipelineModel(model.stages[-2:]).transform(odd).drop("_features"), trees.inputs(model)).select("_raw", "walked").toPandas()
+    np.testing.assert_allclose(both.walked, both._raw, rtol=1e-12)
+    curve = B.validation_curve(model, valid).orderBy("round").toPandas()
+    error = B.predict_gbt(model, valid).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+    assert curve.mse.iloc[-1] == pytest.approx(error, rel=1e-9) and curve.mse.idxmin() == len(curve) - 1
+
+
 def test_patience_keeps_the_least_error(spark, grown):
     *_, names, sup, model = grown
     fit, valid = B.holdout(sup)

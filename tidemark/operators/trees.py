@@ -22,7 +22,10 @@ from tidemark.session import scratch_dir
 
 @dataclass
 class NodeArrays:
-    """All trees' nodes one after the other; leaves have no feature (-1)."""
+    """All trees' nodes one after the other; leaves have no feature (-1), only splits on categories have a subset (else -1).
+
+    A row of `subsets` says which categories go left; its last entry stands for values that are none of the feature's categories.
+    """
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -31,10 +34,12 @@ class NodeArrays:
     value: np.ndarray
     roots: np.ndarray
     weights: np.ndarray
+    subset: np.ndarray
+    subsets: np.ndarray
 
     @classmethod
     def of(cls, model: GBTRegressionModel, spark: SparkSession) -> NodeArrays:
-        """Read from the model's own saved node table; splits on categories are not walked."""
+        """Read from the model's own saved node table."""
         path = scratch_dir(spark, "trees")
         model.write().save(path)
         nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas().sort_values(["treeID", "id"], ignore_index=True)
@@ -42,11 +47,28 @@ class NodeArrays:
         base = first[nodes["treeID"].to_numpy()]
         split = nodes["split"].tolist()
         inner = nodes["leftChild"].to_numpy() >= 0
-        if any(s["numCategories"] != -1 for s, i in zip(split, inner) if i):
-            raise ValueError("an ensemble with splits on categories")
+        grouped = np.array([bool(i) and s["numCategories"] != -1 for s, i in zip(split, inner)], bool)
+        sets = [split[k] for k in np.flatnonzero(grouped)]
+        subsets = np.zeros((len(sets), 1 + max([s["numCategories"] for s in sets], default=0)), bool)
+        for row, s in zip(subsets, sets):
+            # Spark tests for the smaller side, so that what is no category takes the larger one.
+            left = np.array(s["leftCategoriesOrThreshold"], np.int64)
+            row[s["numCategories"] :] = len(left) > s["numCategories"] // 2
+            row[left] = True
         return cls(
-            np.array([s["featureIndex"] if i else -1 for s, i in zip(split, inner)], np.int64), np.array([s["leftCategoriesOrThreshold"][0] if i else 0.0 for s, i in zip(split, inner)]),
-            np.where(inner, nodes["leftChild"] + base, -1), np.where(inner, nodes["rightChild"] + base, -1), nodes["prediction"].to_numpy(), first, np.array(model.treeWeights))
+            np.array([s["featureIndex"] if i else -1 for s, i in zip(split, inner)], np.int64),
+            np.array([s["leftCategoriesOrThreshold"][0] if i and not g else 0.0 for s, i, g in zip(split, inner, grouped)]),
+            np.where(inner, nodes["leftChild"] + base, -1), np.where(inner, nodes["rightChild"] + base, -1), nodes["prediction"].to_numpy(), first, np.array(model.treeWeights),
+            np.where(grouped, np.cumsum(grouped) - 1, -1), subsets)
+
+    def _left(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Whether values of the features of inner nodes go left."""
+        down, by_set = x <= self.threshold[at], self.subset[at] >= 0
+        if by_set.any():
+            v, other = x[by_set], self.subsets.shape[1] - 1
+            known = (v >= 0) & (v < other) & (v == np.floor(v))
+            down[by_set] = self.subsets[self.subset[at[by_set]], np.where(known, v, other).astype(np.int64)]
+        return down
 
     def staged(self, x: np.ndarray) -> np.ndarray:
         """A row per tree with the ensemble's value after it; a missing feature takes the right branch."""
@@ -55,7 +77,7 @@ class NodeArrays:
             at = np.full(len(x), root)
             while (inner := self.feature[at] >= 0).any():
                 here = at[inner]
-                down = x[rows[inner], self.feature[here]] <= self.threshold[here]
+                down = self._left(here, x[rows[inner], self.feature[here]])
                 at[inner] = np.where(down, self.left[here], self.right[here])
             out[t] = self.weights[t] * self.value[at]
         return np.cumsum(out, axis=0)
