@@ -333,6 +333,28 @@ def test_walk_equals_the_model(spark, grown):
     assert len(nodes.roots) == 12 and (nodes.feature >= 0).any()
 
 
+def test_folds_are_fitted_on_saved_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = make(spark, [pd.DataFrame({"k": k, "ts": pd.date_range("2024-01-01", periods=120, freq="h"), "a": rng.normal(size=120), "label": rng.normal(9, 1, 120)}) for k in "uv"])
+    seen, fit = [], B.fit_gbt
+
+    def noted(train, *args, **params):
+        seen.append((train.count(), train.rdd.getNumPartitions(), train._jdf.queryExecution().executedPlan().toString()))
+        return fit(train, *args, **params)
+
+    monkeypatch.setattr(B, "fit_gbt", noted)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        scores = B.cross_validate(df, ["a"], folds=3, keys=["k"], max_iter=1).orderBy("fold").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert [r.fold for r in scores] == [1, 2, 3] and sorted(n for n, *_ in seen) == [60, 120, 180]
+    # A fit takes as many tasks as its rows need, whatever was shuffled before, and carries no plan but a scan.
+    assert all(parts <= 8 for _, parts, _ in seen)
+    assert not any(word in plan for *_, plan in seen for word in ("Exchange", "InMemoryTableScan", "Window"))
+
+
 def test_walk_with_splits_on_categories(spark):
     from pyspark.ml import PipelineModel
 

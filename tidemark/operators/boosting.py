@@ -19,6 +19,7 @@ from tidemark.operators import evaluate as E
 from tidemark.operators import trees
 from tidemark.operators.blocks import BLOCK_ROWS, block_window, overlapping, own_rows, positioned
 from tidemark.operators.cv import expanding_folds
+from tidemark.session import settled
 
 # Learning rate, feature and row fractions, seed. Depth 5 stands for 31 leaves.
 GBT_DEFAULTS = {
@@ -113,14 +114,20 @@ _SCORES = "MSE double, RMSE double, MAE double, MAPE double"
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str = "label", folds: int = 5, keys: list[str] = (), ts: str = "ts", width=None, **params) -> DataFrame:
-    """`(fold, MSE, RMSE, MAE, MAPE)` of expanding-window folds; the fits run side by side over one cached table."""
-    with cached(expanding_folds(df, folds, keys=keys, ts=ts)) as table:
-        def score(k: int):
-            fold = table.where(F.col("fold") == k)
-            model = fit_gbt(fold.where("role = 'train'"), features, label, **params)
-            return (k, *E.metrics(predict_gbt(model, fold.where("role = 'test'")), label, "prediction").first())
+    """`(fold, MSE, RMSE, MAE, MAPE)` of expanding-window folds; the fits run side by side over one saved table.
 
-        return df.sparkSession.createDataFrame(side_by_side(score, list(range(1, folds + 1))), f"fold int, {_SCORES}")
+    Every task of a fit reports the metrics of all plans in its lineage to the driver, thousands of times over; of a saved
+    table that is a scan, in as many parts as its bytes need.
+    """
+    rows = expanding_folds(df, folds, keys=keys, ts=ts).select("fold", "role", *dict.fromkeys([*features, label]))
+    table = settled(rows, "folds", ["fold"])
+
+    def score(k: int):
+        fold = table.where(F.col("fold") == k)
+        model = fit_gbt(fold.where("role = 'train'"), features, label, **params)
+        return (k, *E.metrics(predict_gbt(model, fold.where("role = 'test'")), label, "prediction").first())
+
+    return df.sparkSession.createDataFrame(side_by_side(score, list(range(1, folds + 1))), f"fold int, {_SCORES}")
 
 
 def grid_search(train: DataFrame, test: DataFrame, features: list[str], label: str = "label", grid: dict[str, list] | None = None, **params) -> DataFrame:
@@ -156,8 +163,8 @@ def direct_labels(df: DataFrame, target: str, horizons: list[int], keys: list[st
 def forecast_direct(df: DataFrame, target: str, features: list[str], horizons: list[int], keys: list[str] = (), ts: str = "ts", width=None, **params) -> DataFrame:
     """`(keys, horizon, prediction)` after each series' last row, from one model with the horizon as a feature."""
     keys = list(keys)
-    long = direct_labels(df, target, horizons, keys, ts, width)
-    model = fit_gbt(long.where(F.col("label").isNotNull()), [*features, "horizon"], "label", **params)
+    long = direct_labels(df, target, horizons, keys, ts, width).where(F.col("label").isNotNull())
+    model = fit_gbt(settled(long.select(*features, "horizon", "label"), "horizons"), [*features, "horizon"], "label", **params)
     ends = df.groupBy(*keys).agg(F.max_by(F.struct(ts, *features), ts).alias("_r")).select(*keys, "_r.*")
     last = ends.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
     return predict_gbt(model, last).select(*keys, F.col(ts).alias("origin"), "horizon", "prediction")

@@ -118,7 +118,7 @@ def forecast_recursive(spark, sf_dir):
     """The week after each series' end, 672 steps, every one from the ones before."""
     f, names = _features(spark, sf_dir)
     usable, f = [c for c in names if "pct_change" not in c], settled(f, "features")
-    model = B.fit_gbt(X.supervised(f, T, usable, 1, keys=KEY), usable, max_iter=ROUNDS)
+    model = B.fit_gbt(settled(X.supervised(f, T, usable, 1, keys=KEY), "supervised"), usable, max_iter=ROUNDS)
     return TR.forecast_recursive(model, f, T, 672, "15min", KEY)
 
 

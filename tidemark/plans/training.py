@@ -13,6 +13,7 @@ from tidemark.operators import seasonal as A
 from tidemark.operators import trees
 from tidemark.operators.series import all_granularities, split_train_test
 from tidemark.schemas import OUTAGE, TEST_START
+from tidemark.session import settled
 from tidemark.sources import clf, tables
 
 
@@ -39,10 +40,9 @@ def train_and_evaluate(
             feats = X.all_features(table.select(*keys, "ts", target), target, granularity, keys)
             # Relative changes are missing wherever the earlier value is 0, and rows with a gap do not train.
             names = [c for c in X.feature_columns(feats, keys=keys) if "_pct_change_" not in c]
-            with B.cached(X.supervised(feats, target, names, 1, keys=keys)) as sup:
-                fit, hold = split_train_test(sup, test_start)
-                grown = B.fit_gbt(fit, names, max_iter=max_iter)
-                scored = [("boosted trees", 1, E.metrics(B.predict_gbt(grown, hold), "label", "prediction").first())]
+            fit, hold = split_train_test(settled(X.supervised(feats, target, names, 1, keys=keys), "supervised"), test_start)
+            grown = B.fit_gbt(fit, names, max_iter=max_iter)
+            scored = [("boosted trees", 1, E.metrics(B.predict_gbt(grown, hold), "label", "prediction").first())]
             sar = A.fit_seasonal_ar(train, target, season=season, keys=keys)
             path = A.forecast_seasonal_ar(train, target, sar, horizon, granularity, keys=keys, max_lag=season + 1)
             model = Q.FourierModel(width=granularity, keys=tuple(keys))
@@ -78,7 +78,7 @@ def forecast_table(clean: DataFrame, target: str, model: str, horizon: int = 96,
     if model == "trees":
         feats = X.all_features(clean.select(*keys, "ts", target), target, granularity, keys, removed=removed)
         names = [c for c in X.feature_columns(feats, keys=keys) if "_pct_change_" not in c]
-        sup = X.supervised(feats, target, names, 1, keys=keys, width=granularity, removed=removed)
+        sup = settled(X.supervised(feats, target, names, 1, keys=keys, width=granularity, removed=removed), "supervised")
         fitted = B.fit_gbt(sup, names, max_iter=max_iter)
         path = B.tree_band(trees.forecast_recursive(fitted, feats, target, horizon, granularity, keys))
         return path.select(*keys, "ts", F.col("prediction").alias("value"), "lower", "upper")

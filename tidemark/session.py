@@ -39,8 +39,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the shared folder and read back, for rows that are read more than once: the input is computed once, and lineage ends here."""
+def settled(df: DataFrame, purpose: str, by: list[str] = ()) -> DataFrame:
+    """The rows written to the shared folder and read back, for rows that are read more than once: the input is computed once, and lineage ends here.
+
+    With `by`, a reader of one value of these columns reads its files only.
+    """
     path = f"{scratch_dir(df.sparkSession, purpose)}/rows"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
