@@ -85,3 +85,22 @@ def test_perfect_hash_is_minimal():
     shard = token_files.Shard(token_files.pack(np.arange(5), np.zeros(5, np.int32), np.zeros(5, np.uint8), np.array([1, 0, 2, 3, 1]), np.arange(7, dtype=np.uint16), 0, 0))
     assert [shard.get(k).tolist() for k in range(5)] == [[0], [], [1, 2], [3, 4, 5], [6]]
     assert sum(shard.get(k) is not None for k in range(5, 2000)) == 0 and shard.get(None) is None
+
+
+def test_pieces_stay_with_the_worker_and_digits_are_cut():
+    import random
+
+    import pyarrow as pa
+
+    encoder = token_files.worker_encoder(PATH)
+    assert token_files.worker_encoder(PATH) is encoder
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["12", "7", "3.5", "a", "Word", "'s", "'", "|", " ", "\n", "é", "5\u0301", "٣", "½", ",", "(9)", "🙂", "<|endoftext|>" if k % 9 == 0 else "<|"]) for _ in range(40)) for k in range(300)]
+    want = encoder.whole.encode_batch(texts, add_special_tokens=False)
+    for some in ([k for k in range(300) if "<|" not in texts[k]], range(300)):
+        ids, counts = encoder.encode(*flat(pa.array([texts[k] for k in some])))
+        assert ids.tolist() == [i for k in some for i in want[k].ids] and counts.tolist() == [len(want[k].ids) for k in some]
+    # Long numbers teach no pieces of their own.
+    known = len(encoder.code)
+    ids, _ = encoder.encode(*flat(pa.array([" ".join(str(rng.randrange(10**12)) for _ in range(500))])))
+    assert len(encoder.code) - known <= 20 and (np.array(ids) > 0).all()

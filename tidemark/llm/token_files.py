@@ -9,9 +9,11 @@ lookup takes constant time and rejects nearly all strangers. Shards hold consecu
 from __future__ import annotations
 
 import array
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,10 @@ HEADER = "<8sIIqqqq"
 #: Ids in one shard file, unless a single document has more.
 SHARD_IDS = 1 << 21
 END_ID = 2
-#: Pieces whose ids a task keeps at hand.
-CACHE_PIECES = 400_000
+#: Pieces whose ids a worker process keeps at hand.
+CACHE_PIECES = 600_000
+#: Bytes of text encoded at once: different pieces are looked up once in each step.
+ENCODE_BYTES = 4 << 20
 
 _LEVEL = 0xD1B54A32D192ED03
 
@@ -121,12 +125,16 @@ class Shard:
         return None if begin[0] < 0 else self.ids[begin[0] : end[0]]
 
 
-# Classes of bytes for cutting texts where the tokenizer cuts as well: white space, ASCII letters, other ASCII, and
-# bytes next to which nothing is cut (outside ASCII, and those of contractions and of special tokens).
+# Classes of bytes for cutting texts where the tokenizer cuts as well: white space, ASCII letters, other ASCII, bytes
+# next to which nothing is cut (outside ASCII, and those of contractions and of special tokens), and digits.
 _CLASS = np.full(256, 2, np.uint8)
 _CLASS[0x80:] = _CLASS[[0x27, 0x7C]] = 3
+_CLASS[0x30:0x3A] = 4
 _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = 1
 _CLASS[[0x20, 0x0A]] = 0
+# By 8 times the class of a byte, plus that of the next: whether the next begins a piece. Each digit is a piece.
+_CUTS = np.zeros(64, bool)
+_CUTS[[1, 2, 3, 4, 10, 12, 17, 20, 33, 34, 36]] = True
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[0x41:0x5B] += 32
 _PLAIN[0x0A] = 0x20
@@ -135,12 +143,10 @@ _PLAIN[0x0A] = 0x20
 class PieceEncoder:
     """Ids of whole texts, by cutting them into pieces that the tokenizer encodes one by one and keeping the pieces' ids.
 
-    For tokenizers that drop white space, lower-case, and split letters, digits and other signs from one another.
+    For tokenizers that drop white space, lower-case, and split letters, single digits and other signs from one another.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -154,7 +160,7 @@ class PieceEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         hard = [p for p in pieces if not (p.isascii() and p.isalpha() and p.islower())]
-        other = dict(zip(hard, (e.ids for e in self.whole.encode_batch(hard, add_special_tokens=False)))) if hard else {}
+        other = dict(zip(hard, (e.ids for e in self.whole.encode_batch_fast(hard, add_special_tokens=False)))) if hard else {}
         for p in pieces:
             self.flat.extend(other[p] if p in other else [t.id for t in self.model.tokenize(p)])
             self.code[p] = len(self.ends) - 1
@@ -169,10 +175,7 @@ class PieceEncoder:
         kinds = _CLASS[data]
         edge = np.zeros(len(data), bool)
         before, here = kinds[:-1], kinds[1:]
-        edge[1:] = (before == 0) & (here != 0)
-        if not special:
-            edge[1:] |= (before ^ here) == 3
-            edge[1:] &= here != 0
+        edge[1:] = (before == 0) & (here != 0) if special else _CUTS[before * 8 + here]
         edge[at[:-1][at[:-1] < len(data)]] = True
         starts = np.flatnonzero(edge)
         plain = np.ascontiguousarray(data if special else _PLAIN[data])
@@ -192,9 +195,19 @@ class PieceEncoder:
         return self.whole.get_vocab_size(with_added_tokens=True)
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str, changed: float) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
+def worker_encoder(path: str) -> PieceEncoder:
+    """The encoder of this worker process, which keeps its pieces from task to task."""
+    return _loaded(path, os.path.getmtime(path))
+
+
 def _packer(path: str, end_id: int, shard_ids: int):
     def pack_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = worker_encoder(path)
         kind = np.uint16 if max(encoder.vocabulary(), end_id + 1) <= 1 << 16 else np.uint32
         part, start, held, size = TaskContext.get().partitionId(), 0, [], 0
         last, ordinal = object(), 0
@@ -203,7 +216,7 @@ def _packer(path: str, end_id: int, shard_ids: int):
             columns = [np.concatenate([h[k] for h in held]) for k in range(5)]
             return pa.RecordBatch.from_arrays([pa.array([pack(*columns, part, start)], pa.binary())], ["shard"])
 
-        for rows, data, at in steps(batches, "text"):
+        for rows, data, at in steps(batches, "text", ENCODE_BYTES):
             ids, counts = encoder.encode(data, at)
             ids = np.insert(ids.astype(kind), np.cumsum(counts), end_id)
             counts = counts + 1
