@@ -26,8 +26,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without the 400-byte strings that occur again."""
-    return repeats.report(table(spark, sf_dir, "documents"))
+    """What is left of every document without the 400-byte strings that occur again, and its words in passages of over 50 words that other documents hold."""
+    return repeats.report(table(spark, sf_dir, "documents"), passage=repeats.PASSAGE)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

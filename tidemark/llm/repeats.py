@@ -9,6 +9,9 @@ are the old bucket's identifier joined with that of the bytes further on, and so
 finished where they are, by sorting the identifiers of all their windows; only large ones are dealt out again.
 
 Only identifiers are shuffled until the end; texts are read again for members of mixed buckets and for what is left of them.
+
+Passages that another text holds too, however few bytes they have, fall into buckets the same way, with words in place of bytes;
+members of mixed buckets are told apart by all of their windows.
 """
 
 from __future__ import annotations
@@ -23,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import settled
-from tidemark.llm.texts import BYTE_VALUES, STEP_BYTES, mixed, powers, steps
+from tidemark.llm.texts import BYTE_VALUES, STEP_BYTES, mixed, powers, row_counts, span_hashes, steps, words
 
 LENGTH, GRAM = 400, 100
+#: Words of the shortest passage that counts as shared with another text, and of the grams that place it.
+PASSAGE, PASSAGE_GRAM = 51, 13
 #: Members of a bucket that one task finishes; larger ones are refined first.
 SMALL_BUCKET = 128
 #: Parts that a large bucket's offsets are split into.
@@ -36,6 +41,8 @@ STEP_ROWS = 2048
 BROADCAST_IDS = 1 << 20
 
 _BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F)
+#: Bytes of a passage's words: all but blanks and control characters.
+_WORD_BYTES = np.arange(256) > 0x20
 
 
 def _inverse(base: int) -> int:
@@ -52,12 +59,12 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 class Prints:
-    """Position-free hashes of any span of some bytes, from prefix sums."""
+    """Position-free hashes of any span of some bytes, or of some 64-bit values, from prefix sums."""
 
     def __init__(self, data: np.ndarray, base: int):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * _powers(n, base), out=self.sums[1:])
+        np.cumsum((BYTE_VALUES[data] if data.dtype == np.uint8 else data) * _powers(n, base), out=self.sums[1:])
         self.back = _powers(n + 1, _inverse(base))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -102,6 +109,16 @@ def suffixes(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[
     return row, place - at[row], lo, hi, first.spans(place, place + gram), member
 
 
+def _as_bytes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data, at
+
+
+def _as_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and the n + 1 offsets of the rows' words."""
+    starts, ends, rows = words(data, at, _WORD_BYTES)
+    return span_hashes(data, starts, ends), np.append(0, np.cumsum(row_counts(rows, len(at) - 1)))
+
+
 def _text_key(raw: bytes) -> tuple[int, int, str]:
     digest = hashlib.sha256(raw)
     a, b = np.frombuffer(digest.digest()[:16], np.int64).tolist()
@@ -111,15 +128,19 @@ def _text_key(raw: bytes) -> tuple[int, int, str]:
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, at in steps(batches, "text"):
         keys = [_text_key(data[a:b].tobytes()) for a, b in zip(at, at[1:])]
+        n_words = row_counts(words(data, at, _WORD_BYTES)[2], len(at) - 1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array([k[n] for k in keys], pa.int64()) for n in (0, 1)), pa.array(np.diff(at)), pa.array([k[2] for k in keys])],
-            ["doc_id", "t1", "t2", "n_bytes", "sha256"])
+            [batch.column("doc_id"), *(pa.array([k[n] for k in keys], pa.int64()) for n in (0, 1)), pa.array(np.diff(at)), pa.array(n_words), pa.array([k[2] for k in keys])],
+            ["doc_id", "t1", "t2", "n_bytes", "n_words", "sha256"])
 
 
-def _suffix_rows(length: int, gram: int):
+_SUFFIX = "bucket bigint, member bigint, t1 bigint, t2 bigint, place bigint, lo int, hi int"
+
+
+def _suffix_rows(length: int, gram: int, symbols=_as_bytes):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, at in steps(batches, "text"):
-            row, place, lo, hi, bucket, member = suffixes(data, at, length, gram)
+            row, place, lo, hi, bucket, member = suffixes(*symbols(data, at), length, gram)
             keys = np.array([_text_key(data[a:b].tobytes())[:2] for a, b in zip(at, at[1:])], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket.view(np.int64)), pa.array(member.view(np.int64)), pa.array(keys[row, 0]), pa.array(keys[row, 1]), pa.array(place),
@@ -270,6 +291,63 @@ def _mixed_buckets(members: DataFrame, length: int, gram: int) -> DataFrame:
         rows = settled(large.mapInArrow(_refined(length), _MEMBER + ", low int, high int"), "members")
 
 
+def _windows(length: int):
+    """All windows of words of each wanted member, by bucket and hash."""
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, at in steps(batches, "text"):
+            values, at = _as_words(data, at)
+            members = batch.column("members")
+            bucket, member, place, lo, hi = (x.to_numpy(zero_copy_only=False) for x in members.flatten().flatten())
+            row = np.repeat(np.arange(batch.num_rows), members.value_lengths().to_numpy(zero_copy_only=False))
+            lo, count = lo.astype(np.int64), hi.astype(np.int64) - lo + 1
+            owner = np.repeat(np.arange(len(member)), count)
+            offset = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - lo, count)
+            start = (at[row] + place)[owner] - offset
+            window = Prints(values, _BASES[1]).spans(start, start + length)
+            t1 = batch.column("t1").to_numpy()[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[owner]), pa.array(window.view(np.int64)), pa.array(member[owner]), pa.array(offset.astype(np.int32)), pa.array(t1[owner])],
+                ["bucket", "window", "member", "offset", "t1"])
+
+    return expand
+
+
+def shared_words(docs: DataFrame, keys: DataFrame, length: int = PASSAGE, gram: int = PASSAGE_GRAM) -> DataFrame:
+    """(t1, t2, n_shared_words): how many words of each text lie in passages of `length` words that another text holds too.
+
+    `keys` has t1 and t2 of every row of `docs`. Words are what blanks and control characters part; how they are parted
+    does not count. Texts without such a passage have no row.
+    """
+    rows = settled(docs.select("text").mapInArrow(_suffix_rows(length, gram, _as_words), _SUFFIX), "word-suffixes")
+    counts = rows.groupBy("bucket", "member").agg(F.min("t1").alias("low"), F.max("t1").alias("high"))
+    buckets = counts.groupBy("bucket").agg(F.max(F.col("low") == F.col("high")).alias("mixed"), F.min("low").alias("first"), F.max("high").alias("last")).where("first < last")
+    live = counts.join(buckets, "bucket").select("bucket", "member", (F.col("low") < F.col("high")).alias("whole"), "mixed")
+    seen = settled(rows.join(live, ["bucket", "member"]), "word-occurrences")
+
+    # Of mixed buckets, every member's windows are drawn from one of its texts; a member that several texts hold is known to be shared.
+    heads = seen.where("mixed").groupBy("bucket", "member", "whole").agg(F.min(F.struct("t1", "t2", "place", "lo", "hi")).alias("at"))
+    heads = settled(heads, "word-heads")
+    asked = heads.groupBy("at.t1", "at.t2").agg(F.collect_list(F.struct("bucket", "member", "at.place", "at.lo", "at.hi")).alias("members"))
+    asked = settled(asked, "word-asked")
+    texts = _texts(docs, keys, asked.select("t1", "t2")).dropDuplicates(["t1", "t2"])
+    windows = texts.join(asked, ["t1", "t2"]).select("text", "t1", "members").mapInArrow(_windows(length), "bucket bigint, window bigint, member bigint, offset int, t1 bigint")
+    windows = settled(windows.join(heads.select("bucket", "member", "whole"), ["bucket", "member"]), "word-windows")
+    held = windows.groupBy("bucket", "window").agg(F.max("whole").alias("known"), F.min("t1").alias("low"), F.max("t1").alias("high")).where("known or low < high")
+    found = windows.where("not whole").join(held.select("bucket", "window"), ["bucket", "window"], "left_semi").groupBy("bucket", "member").agg(F.collect_list("offset").alias("offsets"))
+
+    def span(hi, lo):
+        return F.struct((F.col("place") - hi).alias("a"), (F.col("place") - lo + length).alias("b"))
+
+    whole = seen.where("whole").select("t1", "t2", F.array(span(F.col("hi"), F.col("lo"))).alias("spans"))
+    part = seen.where("not whole").join(found, ["bucket", "member"]).select("t1", "t2", F.transform("offsets", lambda o: span(o, o)).alias("spans"))
+    spans = whole.unionByName(part).groupBy("t1", "t2").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    zero = F.lit(0).cast("bigint")
+    covered = F.aggregate("spans", F.struct(zero.alias("n"), zero.alias("end")), lambda x, s: F.struct(
+        (x["n"] + F.greatest(s["b"] - F.greatest(s["a"], x["end"]), zero)).alias("n"), F.greatest(x["end"], s["b"]).alias("end")))
+    return spans.select("t1", "t2", covered["n"].alias("n_shared_words"))
+
+
 def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, data, at in steps(batches, "text"):
         out = []
@@ -288,15 +366,16 @@ def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([x[3] for x in out], pa.binary())], ["t1", "t2", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bytes_too: bool = True) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bytes_too: bool = True, passage: int = 0, passage_gram: int = PASSAGE_GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and `kept` (the remaining bytes; null where nothing was removed).
 
     Removed are all bytes of strings of `length` bytes that also start elsewhere, in the same text or another; overlapping
     occurrences count, and nothing removed changes what is repeated. A text that occurs in several rows is removed
-    from each. Null is empty. Every row gives one row, whatever its doc_id.
+    from each. Null is empty. Every row gives one row, whatever its doc_id. With `passage`, n_shared_words follows: the words
+    of the row in passages of so many words that another row holds too, which says nothing of what is removed.
     """
-    keys = settled(docs.select("doc_id", "text").mapInArrow(_keys, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n_bytes bigint, sha256 string"), "texts")
-    rows = settled(docs.select("text").mapInArrow(_suffix_rows(length, gram), "bucket bigint, member bigint, t1 bigint, t2 bigint, place bigint, lo int, hi int"), "suffixes")
+    keys = settled(docs.select("doc_id", "text").mapInArrow(_keys, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n_bytes bigint, n_words bigint, sha256 string"), "texts")
+    rows = settled(docs.select("text").mapInArrow(_suffix_rows(length, gram), _SUFFIX), "suffixes")
     counts = rows.groupBy("bucket", "member").agg(F.count("*").alias("n"))
     buckets = counts.groupBy("bucket").agg(F.count("*").alias("members"), F.max("n").alias("most"), F.min("n").alias("least")).where("members > 1 or most > 1")
     live = counts.join(buckets.drop("most"), "bucket").where("n > 1 or members > 1")
@@ -322,6 +401,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, byt
         changed = changed.drop("kept")
 
     named = text_counts.join(changed, ["t1", "t2"], "left")
+    if passage:
+        named = named.join(shared_words(docs, keys, passage, passage_gram), ["t1", "t2"], "left")
     all_gone = (F.col("rows") > 1) & (F.col("n_bytes") >= length)
     out = keys.join(named, ["t1", "t2"], "left")
     columns = [
@@ -330,9 +411,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, byt
         F.when(all_gone, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256")]
     if bytes_too:
         columns.append(F.when(all_gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
+    if passage:
+        copied = (F.col("rows") > 1) & (F.col("n_words") >= passage)
+        columns.append(F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_shared_words", F.lit(0).cast("bigint"))).alias("n_shared_words"))
     return out.select(*columns)
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    return without_repeats(docs, bytes_too=False)
+def report(docs: DataFrame, passage: int = 0) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document; with `passage`, n_shared_words too."""
+    return without_repeats(docs, bytes_too=False, passage=passage)
